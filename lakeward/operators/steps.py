@@ -120,3 +120,15 @@ def upgrade_bag(df: DataFrame, bag: str, fields: dict[str, str],
         if name not in out.columns:
             out = out.withColumn(name, F.lit(None).cast(typ))
     return out
+
+
+# -- join step --------------------------------------------------------------------------
+
+def join_step(df: DataFrame, other: DataFrame, on, how: str = "inner", broadcast: bool = False) -> DataFrame:
+    """Join with another product; ``broadcast`` is honoured only when the
+    other side passes the size check."""
+    if broadcast:
+        from lakeward.operators.joins import bounded_broadcast
+
+        other = bounded_broadcast(other)
+    return df.join(other, on=on, how=how)

@@ -30,6 +30,10 @@ def registry(spark: SparkSession, *products: Product) -> DataFrame:
     return spark.createDataFrame(rows, REGISTRY_SCHEMA)
 
 
+def _chg(change: str, cls: str) -> F.Column:
+    return F.struct(F.lit(change).alias("change"), F.lit(cls).alias("class"))
+
+
 def _norm_type(c) -> F.Column:
     return F.lower(F.regexp_replace(c, r"\s+", ""))
 
@@ -52,30 +56,32 @@ def classify_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     desc_changed = ~F.col("o_description").eqNullSafe(F.col("n_description")) & \
         (F.col("o_description").isNotNull() | F.col("n_description").isNotNull())
     candidates = F.array(
-        F.when(F.col("n_field").isNull(), F.struct(F.lit("field removed").alias("change"), F.lit("breaking").alias("class"))),
+        F.when(F.col("n_field").isNull(), _chg("field removed", "breaking")),
         F.when(F.col("o_field").isNull() & F.col("n_nullable"),
-               F.struct(F.lit("optional field added"), F.lit("additive"))),
+               _chg("optional field added", "additive")),
         F.when(F.col("o_field").isNull() & ~F.col("n_nullable"),
-               F.struct(F.lit("required field added"), F.lit("breaking"))),
+               _chg("required field added", "breaking")),
         F.when(both & (_norm_type(F.col("o_type")) != _norm_type(F.col("n_type"))),
-               F.struct(F.lit("type changed"), F.lit("breaking"))),
+               _chg("type changed", "breaking")),
         F.when(both & F.col("o_nullable") & ~F.col("n_nullable"),
-               F.struct(F.lit("nullability tightened"), F.lit("breaking"))),
+               _chg("nullability tightened", "breaking")),
         F.when(both & ~F.col("o_nullable") & F.col("n_nullable"),
-               F.struct(F.lit("nullability relaxed"), F.lit("additive"))),
+               _chg("nullability relaxed", "additive")),
         F.when(both & has_o & has_n & (F.size(removed_vals) > 0),
-               F.struct(F.lit("allowed_values narrowed"), F.lit("breaking"))),
+               _chg("allowed_values narrowed", "breaking")),
         F.when(both & has_o & has_n & (F.size(added_vals) > 0),
-               F.struct(F.lit("allowed_values widened"), F.lit("additive"))),
-        F.when(both & has_o & ~has_n, F.struct(F.lit("allowed_values removed"), F.lit("additive"))),
-        F.when(both & ~has_o & has_n, F.struct(F.lit("allowed_values added"), F.lit("breaking"))),
-        F.when(both & desc_changed, F.struct(F.lit("description changed"), F.lit("cosmetic"))),
+               _chg("allowed_values widened", "additive")),
+        F.when(both & has_o & ~has_n, _chg("allowed_values removed", "additive")),
+        F.when(both & ~has_o & has_n, _chg("allowed_values added", "breaking")),
+        F.when(both & desc_changed, _chg("description changed", "cosmetic")),
     )
     return (j.select(contract.alias("contract"), field.alias("field"),
                      F.col("o_version").alias("old_version"), F.col("n_version").alias("new_version"),
+                     F.array_join(removed_vals, ",").alias("values_removed"),
                      F.explode(F.array_compact(candidates)).alias("c"))
              .select("contract", "field", "c.change", "c.class",
-                     F.array_join(removed_vals, ",").alias("values_removed")))
+                     F.when(F.col("change") == "allowed_values narrowed", F.col("values_removed"))
+                      .otherwise(F.lit("")).alias("values_removed")))
 
 
 def bump_check(changes: DataFrame, old_version: str, new_version: str) -> dict:
