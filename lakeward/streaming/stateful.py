@@ -1,0 +1,78 @@
+"""Running journey stage per user as a custom stateful operator.
+
+``applyInPandasWithState`` keeps, per user, the current day, the last event
+time and the day's session count and minutes.  Spark shuffles the stream by
+user and hands each group's micro-batch rows to the function as pandas
+frames; the state survives between batches in the checkpointed state store.
+Each batch emits the user's open day (update mode); the sink upserts it on
+(user, day), so the table always holds the latest stage of every user-day.
+"""
+
+from __future__ import annotations
+
+from typing import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from lakeward.functions.expressions import REFERENCE_VOCAB, Vocabulary
+from lakeward.operators.journey import ENGAGED_MIN_SESSIONS, HABITUAL_MIN_SESSIONS, LAPSING_MAX_MINUTES
+from lakeward.operators.sessions import SESSION_GAP_SECONDS
+from lakeward.sinks import writes
+from lakeward.streaming.jobs import _run, on_time_deduplicated
+
+OUT_SCHEMA = "user_id string, journey_date date, session_count int, total_engagement_min double, derived_stage string"
+STATE_SCHEMA = "day date, last_s long, sessions int, minutes double"
+
+
+def _stage(sessions: int, minutes: float) -> str:
+    if sessions == 0:
+        return "churned"
+    if sessions >= HABITUAL_MIN_SESSIONS:
+        return "habitual"
+    if sessions >= ENGAGED_MIN_SESSIONS:
+        return "engaged"
+    if minutes < LAPSING_MAX_MINUTES:
+        return "lapsing"
+    return "exploring"
+
+
+def _step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    user = key[0]
+    day, last_s, sessions, minutes = state.get if state.exists else (None, None, 0, 0.0)
+    pdf = pd.concat(list(frames), ignore_index=True).sort_values("ts_s", kind="mergesort")
+    out = []
+    for ts_s, d, m in zip(pdf["ts_s"].tolist(), pdf["day"].tolist(), pdf["minutes"].tolist()):
+        new_session = last_s is None or ts_s - last_s > SESSION_GAP_SECONDS
+        if d != day:
+            if day is not None:
+                out.append((user, day, sessions, minutes, _stage(sessions, minutes)))
+            day, sessions, minutes = d, 1, 0.0      # the running session touches the new day
+        elif new_session:
+            sessions += 1
+        minutes += float(m)
+        last_s = ts_s
+    out.append((user, day, sessions, minutes, _stage(sessions, minutes)))
+    state.update((day, last_s, sessions, minutes))
+    yield pd.DataFrame(out, columns=["user_id", "journey_date", "session_count", "total_engagement_min",
+                                     "derived_stage"])
+
+
+def running_stage(spark: SparkSession, landing: str, root: str, checkpoint: str, salt: str,
+                  vocab: Vocabulary = REFERENCE_VOCAB) -> str:
+    d = on_time_deduplicated(spark, landing, salt).where(F.col("user_id").isNotNull())
+    minutes = F.when(vocab.is_end(), F.coalesce(vocab.duration(), F.lit(0.0)) / 60.0).otherwise(F.lit(0.0))
+    rows = d.select("user_id", F.unix_timestamp("event_timestamp").alias("ts_s"),
+                    F.to_date("event_timestamp").alias("day"), minutes.alias("minutes"), "event_timestamp")
+    out = rows.groupBy("user_id").applyInPandasWithState(
+        _step, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    path = f"{root}/stage"
+
+    def each(batch: DataFrame, batch_id: int):
+        writes.upsert(spark, path, batch, ["user_id", "journey_date"], ["journey_date"], schema=OUT_SCHEMA)
+
+    _run(out.writeStream.outputMode("update").foreachBatch(each)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return path
