@@ -32,8 +32,13 @@ def engagement_aggs(vocab: Vocabulary, extended: bool = True, top_k: int = 5) ->
             _minutes(vocab).alias("total_engagement_min"),
             _completions(vocab).alias("exercise_completions")]
     if extended:
+        # ``collect_list(DISTINCT ..)`` is rewritten with the other distinct
+        # aggregates: the type becomes one more Expand group, the partial
+        # aggregates stay hash-based, and only the final, partner-day-sized
+        # level builds the (small) set.
         aggs += [F.count_distinct(F.when(vocab.is_first(), F.col("user_id"))).alias("new_signups"),
-                 F.slice(F.sort_array(F.collect_set("event_type")), 1, top_k).alias("top_event_types")]
+                 F.slice(F.sort_array(F.expr("collect_list(DISTINCT event_type)")), 1, top_k)
+                  .alias("top_event_types")]
     return aggs
 
 
