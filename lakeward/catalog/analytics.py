@@ -18,9 +18,9 @@ def _report(df):
 
 @query("quality_completeness", oracle("""
 select 'completeness' as rule, 'event_id' as "column", round(avg(case when event_id is not null then 1.0 else 0.0 end), 6) as actual,
-       1.0 as threshold, avg(case when event_id is not null then 1.0 else 0.0 end) >= 1.0 as passed from silver
+       cast(1.0 as double) as threshold, avg(case when event_id is not null then 1.0 else 0.0 end) >= 1.0 as passed from silver
 union all
-select 'completeness', 'user_id', round(avg(case when user_id is not null then 1.0 else 0.0 end), 6), 0.999,
+select 'completeness', 'user_id', round(avg(case when user_id is not null then 1.0 else 0.0 end), 6), cast(0.999 as double),
        avg(case when user_id is not null then 1.0 else 0.0 end) >= 0.999 from silver
 """))
 def quality_completeness(spark, sf):
@@ -30,10 +30,10 @@ def quality_completeness(spark, sf):
 
 
 @query("quality_uniqueness", oracle("""
-select 'raw' as table_name, round(count(distinct event_id) / count(*), 6) as actual, 1.0 as threshold,
+select 'raw' as table_name, round(count(distinct event_id) / count(*), 6) as actual, cast(1.0 as double) as threshold,
        count(distinct event_id) / count(*) >= 1.0 as passed from raw
 union all
-select 'silver', round(count(distinct event_id) / count(*), 6), 1.0, count(distinct event_id) / count(*) >= 1.0 from silver
+select 'silver', round(count(distinct event_id) / count(*), 6), cast(1.0 as double), count(distinct event_id) / count(*) >= 1.0 from silver
 """))
 def quality_uniqueness(spark, sf):
     """Q2: distinct/total of event_id; fails on raw (re-deliveries), passes on silver."""
@@ -92,10 +92,10 @@ def known_rows(spark, sf):
 
 @query("business_rules", oracle("""
 select 'dau_cannot_exceed_total_sessions' as rule, cast(sum(case when dau > total_sessions then 1 else 0 end) as double) as actual,
-       0.0 as threshold, sum(case when dau > total_sessions then 1 else 0 end) = 0 as passed from gold
+       cast(0.0 as double) as threshold, sum(case when dau > total_sessions then 1 else 0 end) = 0 as passed from gold
 union all
 select 'engagement_minutes_reasonable', cast(sum(case when total_engagement_min > dau * 24 * 60 then 1 else 0 end) as double),
-       0.0, sum(case when total_engagement_min > dau * 24 * 60 then 1 else 0 end) = 0 from gold
+       cast(0.0 as double), sum(case when total_engagement_min > dau * 24 * 60 then 1 else 0 end) = 0 from gold
 """))
 def business_rules(spark, sf):
     """Q5: the dashboard contract's rules over the candidate rollup."""
@@ -107,7 +107,7 @@ def business_rules(spark, sf):
 @query("pii_check", oracle("""
 select 'pseudonym_format' as rule, 'user_id' as "column",
        round(avg(case when user_id is not null then (case when regexp_matches(user_id, '^[0-9a-f]{64}$') then 1.0 else 0.0 end) end), 6) as actual,
-       1.0 as threshold,
+       cast(1.0 as double) as threshold,
        avg(case when user_id is not null then (case when regexp_matches(user_id, '^[0-9a-f]{64}$') then 1.0 else 0.0 end) end) >= 1.0 as passed
 from silver
 """))

@@ -60,8 +60,13 @@ select event_id, epoch_us(event_timestamp) as event_timestamp, epoch_us(ingest_t
 from raw
 """))
 def land_events(spark, sf):
-    """The bronze landing of every delivery, with its ingest_date partition value."""
-    r = raw(spark, sf).withColumn("ingest_date", F.to_date("ingest_timestamp"))
+    """Every delivery landed as JSON lines and read back with the contract
+    schema + ``_corrupt_record``; well-formed rows get their ingest_date."""
+    from lakeward.session import workspace
+    from lakeward.sources import landing
+
+    path = landing.write_landing(raw(spark, sf), f"{workspace(spark, 'land_events')}/landing")
+    r, _ = landing.read_json_events(spark, path)
     return present(r.select("event_id", "event_timestamp", "ingest_timestamp", "user_id", "partner_id",
                             "event_type", "copy", "ingest_date"),
                    ts_cols=["event_timestamp", "ingest_timestamp"])

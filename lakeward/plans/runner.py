@@ -103,6 +103,20 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
     target = f"{root}/{tier}/{product.name}"
     staged = f"{root}/_staging/{product.name}/{run_id}"
 
+    bronze = product.tier("bronze")
+    if bronze.enabled:
+        # K1: land this run's input once; the steps read it back (the source is
+        # computed one time and the lineage is cut), then its files are moved
+        # into the append-only bronze table.
+        b_part = list(bronze.partition_by)
+        if "ingest_date" in b_part and "ingest_date" not in source.columns:
+            source = source.withColumn("ingest_date", F.to_date("ingest_timestamp"))
+        b_staged = f"{root}/_staging/bronze/{product.name}/{run_id}"
+        writes.write_table(source, b_staged, b_part, bronze.format)
+        source = spark.read.format(bronze.format).load(b_staged)
+        if "ingest_date" in source.columns and "ingest_date" not in [f.name for f in product.fields]:
+            source = source.drop("ingest_date")
+
     kept, rejected, obs, merge = apply_steps(spark, source, product, salt, as_of, refs)
     out = _shape(kept, product, part)
     writes.write_table(out, staged, part, t.format, "overwrite", t.z_order_by)
@@ -135,13 +149,13 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
     rows_rej = sum(v for k, v in counts.items() if k.endswith(":rejected"))
     status = "blocked" if blocking else "written"
     if not blocking:
-        fs, _ = writes._fs(spark, target)
         if merge.get("keys") and writes.exists(spark, target):
             writes.upsert(spark, target, staged_df, merge["keys"], part, fmt=t.format, cluster_by=t.z_order_by)
         else:
-            if writes.exists(spark, target):
-                fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target), True)
-            writes.write_table(staged_df, target, part, t.format, "overwrite", t.z_order_by)
+            writes.promote(spark, staged, target)
+
+    if bronze.enabled:
+        writes.append_by_rename(spark, b_staged, f"{root}/bronze/{product.name}")
 
     failed = [f"{r['rule']}[{r['column']}]" for r in report if not r["passed"]]
     runs = spark.createDataFrame(

@@ -23,6 +23,10 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Task output goes straight to the output folder at task commit (one
+    # rename instead of two).  Every in-place change of ours writes to a
+    # staging folder first, so a failed job never exposes partial output.
+    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
 }
 
 

@@ -106,6 +106,17 @@ def replace_table(spark: SparkSession, df: DataFrame, target: str, fmt: str = "p
     fs.rename(jvm.org.apache.hadoop.fs.Path(staged), t)
 
 
+def promote(spark: SparkSession, staged: str, target: str) -> None:
+    """Make a fully staged table the target: delete the old folder, rename
+    the staged one into place (a metadata operation; no data is rewritten)."""
+    fs, t = _fs(spark, target)
+    jvm = spark.sparkContext._jvm
+    if fs.exists(t):
+        fs.delete(t, True)
+    fs.mkdirs(t.getParent())
+    fs.rename(jvm.org.apache.hadoop.fs.Path(staged), t)
+
+
 def replace_partitions(spark: SparkSession, new_rows: DataFrame, target: str, partition_by: list[str],
                        touched: list[tuple], fmt: str = "parquet", cluster_by: list[str] | tuple = ()) -> None:
     """Stage the new content of the touched partitions, then swap them in."""
@@ -133,6 +144,29 @@ def _partition_predicate(partition_by: list[str], touched: list[tuple]):
     return cond
 
 
+def append_by_rename(spark: SparkSession, staged: str, target: str) -> int:
+    """Append a staged (partitioned) table to ``target`` by moving its data
+    files into the matching partition folders.  File names are unique per
+    write, so nothing is overwritten; returns the number of files moved."""
+    fs, src_root = _fs(spark, staged)
+    jvm = spark.sparkContext._jvm
+    moved = 0
+    it = fs.listFiles(src_root, True)
+    while it.hasNext():
+        st = it.next()
+        path = st.getPath()
+        rel = path.toString()[len(src_root.toString().rstrip("/")) + 1:]
+        name = path.getName()
+        if name.startswith("_") or name.startswith("."):
+            continue
+        dst = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{rel}")
+        fs.mkdirs(dst.getParent())
+        fs.rename(path, dst)
+        moved += 1
+    fs.delete(src_root, True)
+    return moved
+
+
 # -- upsert -------------------------------------------------------------------------------
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> int:

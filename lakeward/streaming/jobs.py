@@ -23,42 +23,25 @@ from pyspark.sql import functions as F
 from lakeward.functions.expressions import REFERENCE_VOCAB, Vocabulary, is_true, pseudonym
 from lakeward.operators import rollups
 from lakeward.sinks import writes
+from lakeward.sources.landing import LANDING_DDL, parse, write_landing  # noqa: F401
+from lakeward.sources.landing import malformed as landing_malformed
 
-LANDING_DDL = ("event_id string, event_timestamp string, ingest_timestamp string, user_id string, "
-               "partner_id string, event_type string, session_id string, duration_seconds double, "
-               "is_first_session string, copy int, _corrupt_record string")
 SILVER_DDL = ("event_id string, event_timestamp timestamp, ingest_timestamp timestamp, user_id string, "
               "partner_id string, event_type string, session_id string, duration_seconds double, "
               "is_first_session string, event_date date")
 GOLD_DDL = ("partner_id string, dau bigint, total_sessions bigint, total_engagement_min double, "
             "exercise_completions bigint, new_signups bigint, top_event_types array<string>, metric_date date")
-TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-
-
-def write_landing(raw: DataFrame, path: str, by_day: bool = True) -> str:
-    """Land raw deliveries as JSON lines, one file group per ingest day."""
-    out = raw.select(*[F.date_format(c, TS_FORMAT).alias(c) if c in ("event_timestamp", "ingest_timestamp")
-                       else F.col(c) for c in raw.columns])
-    if by_day:
-        out = out.repartition(F.substring("ingest_timestamp", 1, 10))
-    out.write.mode("append").json(path)
-    return path
-
-
 def read_landing(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Streaming JSON read with the contract schema (no inference)."""
     r = (spark.readStream.schema(LANDING_DDL).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    s = r.json(path)
-    return (s.withColumn("event_timestamp", F.try_to_timestamp("event_timestamp", F.lit(TS_FORMAT)))
-             .withColumn("ingest_timestamp", F.try_to_timestamp("ingest_timestamp", F.lit(TS_FORMAT))))
+    return parse(r.json(path))
 
 
 def malformed(df: DataFrame) -> F.Column:
-    return (F.col("_corrupt_record").isNotNull() | F.col("event_id").isNull()
-            | F.col("event_timestamp").isNull() | F.col("ingest_timestamp").isNull())
+    return landing_malformed()
 
 
 def late(df: DataFrame, days: int = 7) -> F.Column:
