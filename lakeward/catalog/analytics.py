@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeward import products
-from lakeward.catalog.common import VOCAB, dedup, gold_daily, oracle, present, query, raw, silver
+from lakeward.catalog.common import VOCAB, dedup, gold_daily, oracle, present, query, raw, silver, silver_table
 from lakeward.operators import checks, joins, journey, rollups, sessions
 from lakeward.sources import fixture
 
@@ -144,7 +144,7 @@ def freshness(spark, sf):
 # -- sessions ---------------------------------------------------------------------------
 
 def _sessionized(spark, sf):
-    return sessions.sessionize(silver(spark, sf).where(F.col("user_id").isNotNull()))
+    return sessions.sessionize(silver_table(spark, sf).where(F.col("user_id").isNotNull()))
 
 
 @query("session_gaps", oracle("""
@@ -187,7 +187,7 @@ group by user_id, ws
 """))
 def session_window_batch(spark, sf):
     """Spark's session_window over the same events (microsecond gaps)."""
-    s = sessions.session_windows(silver(spark, sf).where(F.col("user_id").isNotNull()))
+    s = sessions.session_windows(silver_table(spark, sf).where(F.col("user_id").isNotNull()))
     return present(s, ts_cols=["session_start", "session_end"])
 
 
@@ -200,7 +200,7 @@ def events_in_session(spark, sf):
     """Interval join of events to session spans (bucketed range join)."""
     spans = sessions.session_summary(_sessionized(spark, sf)).select(
         "user_id", "derived_session_id", "session_start", "session_end")
-    ev = silver(spark, sf).where(F.col("user_id").isNotNull()).select("event_id", "user_id", "event_timestamp")
+    ev = silver_table(spark, sf).where(F.col("user_id").isNotNull()).select("event_id", "user_id", "event_timestamp")
     j = joins.interval_join(ev, spans, "user_id", "event_timestamp", "session_start", "session_end")
     return j.select("event_id", "user_id", "derived_session_id")
 
@@ -242,13 +242,13 @@ def _events_text(df):
 
 
 def _journey(spark, sf):
-    return journey.user_journey(silver(spark, sf), VOCAB)
+    return journey.user_journey(silver_table(spark, sf), VOCAB)
 
 
 @query("user_day", oracle(USER_DAY_SQL))
 def user_day(spark, sf):
     """User-day rows with sorted event structs, sessions, minutes."""
-    u = journey.user_day(silver(spark, sf), VOCAB)
+    u = journey.user_day(silver_table(spark, sf), VOCAB)
     return present(_events_text(u), dbl_cols=["total_engagement_min"])
 
 
@@ -258,7 +258,7 @@ from ({USER_DAY_SQL}) ud
 """))
 def journey_stage(spark, sf):
     """Resilience stage per user-day."""
-    u = journey.derive_stage(journey.user_day(silver(spark, sf), VOCAB))
+    u = journey.derive_stage(journey.user_day(silver_table(spark, sf), VOCAB))
     return present(u.select("pseudonymized_user_id", "partner_id", "journey_date", "session_count",
                             "total_engagement_min", "derived_stage"), dbl_cols=["total_engagement_min"])
 
@@ -273,7 +273,8 @@ select pseudonymized_user_id, partner_id, journey_date, days_since_signup from u
 """))
 def days_since_signup(spark, sf):
     """U4: days from the user's signup (or first seen) day to the journey day."""
-    u = journey.days_since_signup(journey.user_day(silver(spark, sf), VOCAB), silver(spark, sf), VOCAB)
+    s = silver_table(spark, sf)
+    u = journey.days_since_signup(journey.user_day(s, VOCAB), s, VOCAB)
     return u.select("pseudonymized_user_id", "partner_id", "journey_date", "days_since_signup")
 
 
@@ -302,7 +303,7 @@ select {STAGE_SQL} as derived_stage, count(*) as user_days from ({USER_DAY_SQL})
 """))
 def stage_counts(spark, sf):
     """U2 summary: user-days per stage."""
-    u = journey.derive_stage(journey.user_day(silver(spark, sf), VOCAB))
+    u = journey.derive_stage(journey.user_day(silver_table(spark, sf), VOCAB))
     return u.groupBy("derived_stage").agg(F.count(F.lit(1)).alias("user_days"))
 
 
@@ -315,7 +316,7 @@ where not exists (select 1 from silver s where s.user_id = a.user_id and cast(s.
 """))
 def inactive_days(spark, sf):
     """User-days without activity inside each user's active span."""
-    return journey.inactive_days(silver(spark, sf))
+    return journey.inactive_days(silver_table(spark, sf))
 
 
 @query("rule_stage", oracle(f"""
@@ -324,7 +325,7 @@ select cast(count(*) filter (where derived_stage not in ('onboarding','exploring
 """))
 def rule_stage(spark, sf):
     """Q10: stage value inside the allowed list."""
-    return journey.journey_rules(journey.derive_stage(journey.user_day(silver(spark, sf), VOCAB))) \
+    return journey.journey_rules(journey.derive_stage(journey.user_day(silver_table(spark, sf), VOCAB))) \
         .select(F.col("stage_must_be_valid").alias("violations"))
 
 
@@ -335,5 +336,5 @@ select cast(count(*) as bigint) as violations from (
 """))
 def rule_sessions(spark, sf):
     """Q10: derived sessions vs client session ids (false by design: alert)."""
-    return journey.journey_rules(journey.derive_stage(journey.user_day(silver(spark, sf), VOCAB))) \
+    return journey.journey_rules(journey.derive_stage(journey.user_day(silver_table(spark, sf), VOCAB))) \
         .select(F.col("session_count_matches_events").alias("violations"))

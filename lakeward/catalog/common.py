@@ -51,6 +51,19 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     return steps.pseudonymize(kept, "user_id", fixture.SALT).drop("copy")
 
 
+def silver_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver written once to the shared workspace and read back: operators
+    that read their input more than once (chunked sessionization joins its
+    chunk summary back, journeys join signup days) then scan a stored,
+    column-pruned table instead of recomputing the dedup shuffle per read.
+    This is how the journey product reads silver in production."""
+    from lakeward.session import workspace
+
+    path = f"{workspace(spark, 'silver')}/silver"
+    silver(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def gold_daily(spark: SparkSession, sf: str) -> DataFrame:
     return rollups.partner_daily(silver(spark, sf), VOCAB)
 

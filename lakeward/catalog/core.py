@@ -126,7 +126,8 @@ def raw_to_silver_counts(spark, sf):
     late = ~F.coalesce(F.expr(fixture.late_predicate()), F.lit(False))
     per_key = (raw(spark, sf).groupBy("event_id")
                .agg(F.count(F.lit(1)).alias("copies"),
-                    F.max_by(late, F.struct("ingest_timestamp", F.col("copy") * -1)).alias("late")))
+                    F.max_by(late, F.unix_micros("ingest_timestamp") * 2 + (F.col("copy") == 0).cast("long"))
+                     .alias("late")))
     return per_key.agg(F.sum("copies").alias("raw_rows"), F.count(F.lit(1)).alias("dedup_rows"),
                        F.sum(F.col("late").cast("bigint")).alias("late_rows"),
                        F.sum((~F.col("late")).cast("bigint")).alias("silver_rows"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeward.catalog.common import (DASH_PARTNERS, VOCAB, dedup, gold_daily, oracle, present, query,
-                                     silver)
+                                     silver, silver_table)
 from lakeward.operators import rollups, sets, steps
 from lakeward.sources import fixture
 
@@ -210,10 +210,9 @@ select user_id from silver where cast(event_timestamp as date) = date '2024-01-0
 """))
 def common_users(spark, sf):
     """Users active on both of two days (INTERSECT)."""
-    s = silver(spark, sf).where(F.col("user_id").isNotNull())
-    d = F.to_date("event_timestamp")
-    return sets.common(s.where(d == F.lit("2024-01-01").cast("date")).select("user_id"),
-                       s.where(d == F.lit("2024-01-02").cast("date")).select("user_id"))
+    s = silver(spark, sf).where(F.col("user_id").isNotNull()).withColumn("d", F.to_date("event_timestamp"))
+    return sets.present_in_all(s, "user_id", "d", [F.lit("2024-01-01").cast("date"),
+                                                   F.lit("2024-01-02").cast("date")])
 
 
 LEGACY_SQL = """
@@ -262,10 +261,11 @@ from silver
 """))
 def union_versions(spark, sf):
     """v1 and v2 events side by side during the double-write window
-    (``unionByName(allowMissingColumns=True)``)."""
+    (``unionByName(allowMissingColumns=True)``); both versions read the stored
+    silver table, so the dedup runs once."""
     from lakeward.plans import evolution
 
-    s = silver(spark, sf)
+    s = silver_table(spark, sf)
     v1 = s.select(F.lit("v1").alias("version"), "event_id", F.col("duration_seconds").alias("duration_v1"))
     v2 = evolution.to_v2(s).select(F.lit("v2").alias("version"), "event_id", "clinical_intensity",
                                    F.col("event_properties.duration_seconds").alias("duration_v2"))
@@ -281,21 +281,16 @@ select event_id,
        coalesce(duration_seconds, 0.0) / 60.0 as minutes,
        case when event_type in ('purchase', 'click') then 'core' when event_type = 'error' then 'error' end as kind,
        event_type not in ('error') as not_error,
-       cast(json_extract_string(props, '$.k') as varchar) as prop_k,
+       json_extract_string(json_object('k', event_type), '$.k') as prop_k,
        array_to_string(list_slice(list_sort(list_distinct([event_type, partner_id, event_type])), 1, 2), ',') as sorted_slice,
        len(list_distinct([event_type, partner_id])) as n_distinct,
        sha256('x' || event_id) as hashed
-from silver join (select cast(event_id as varchar) as eid, props from events) p on p.eid = silver.event_id
+from silver
 """))
 def scalar_tour(spark, sf):
     """2.9: the scalar functions the products use, in one projection."""
-    from lakeward.sources.tables import read_table
-
-    s = silver(spark, sf)
-    props = read_table(spark, sf, "events", ["event_id", "props"]).select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.from_json("props", "map<string,string>").alias("bag"))
-    j = s.join(props, "event_id")
+    j = silver(spark, sf).withColumn(
+        "bag", F.from_json(F.to_json(F.struct(F.col("event_type").alias("k"))), "map<string,string>"))
     arr = F.array("event_type", "partner_id", "event_type")
     return j.select(
         "event_id",

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeward import products
-from lakeward.catalog.common import VOCAB, dedup, gold_daily, oracle, present, query, raw, silver
+from lakeward.catalog.common import VOCAB, dedup, gold_daily, oracle, present, query, raw, silver, silver_table
 from lakeward.catalog.reports import GOLD_BASIC, _legacy_silver
 from lakeward.model import load_product
 from lakeward.operators import journey, joins, rollups, steps
@@ -186,7 +186,8 @@ def _erasure_setup(spark, sf, name):
     root = workspace(spark, name)
     spath = _write_silver(spark, sf, root)
     jpath = f"{root}/gold/user_journey"
-    writes.write_table(journey.user_journey(silver(spark, sf), VOCAB), jpath, ["journey_date"],
+    writes.write_table(journey.user_journey(spark.read.schema(SILVER_DDL).parquet(spath), VOCAB), jpath,
+                       ["journey_date"],
                        cluster_by=["pseudonymized_user_id"])
     targets = [erasure.Target("silver.engagement_events", spath, "user_id", ("event_date", "partner_id"), SILVER_DDL),
                erasure.Target("gold.user_journey", jpath, "pseudonymized_user_id", ("journey_date",), JOURNEY_DDL)]
@@ -284,8 +285,9 @@ from journey j join gold g on g.partner_id = j.partner_id and g.metric_date = j.
 """))
 def journey_with_rollup(spark, sf):
     """A join step between two products (journey x partner-day rollup)."""
-    j = journey.user_day(silver(spark, sf), VOCAB)
-    g = gold_daily(spark, sf).select("partner_id", F.col("metric_date").alias("journey_date"),
+    s = silver_table(spark, sf)
+    j = journey.user_day(s, VOCAB)
+    g = rollups.partner_daily(s, VOCAB).select("partner_id", F.col("metric_date").alias("journey_date"),
                                      F.col("dau").alias("partner_dau"))
     out = steps.join_step(j, g, ["partner_id", "journey_date"], "inner", broadcast=True)
     return out.select("pseudonymized_user_id", "journey_date", "partner_id", "session_count", "partner_dau")
@@ -302,7 +304,7 @@ from journey
 """))
 def function_step(spark, sf):
     """2.12: an allow-listed DataFrame function applied as a contract step."""
-    u = journey.user_day(silver(spark, sf), VOCAB)
+    u = journey.user_day(silver_table(spark, sf), VOCAB)
     return steps.function_step(u, "derive_stage").select("pseudonymized_user_id", "partner_id", "journey_date",
                                                           "derived_stage")
 
