@@ -252,6 +252,16 @@ def user_day(spark, sf):
     return present(_events_text(u), dbl_cols=["total_engagement_min"])
 
 
+@query("journey_events", oracle("""
+select user_id as pseudonymized_user_id, partner_id, cast(event_timestamp as date) as journey_date, event_type,
+       epoch_us(event_timestamp) as ts, session_id, cast(sid as bigint) as derived_session_id from sessions
+"""))
+def journey_events(spark, sf):
+    """U1 normalized: one row per sessionized event with its user-day key,
+    the scalable companion of the per-user-day ``events`` array."""
+    return present(journey.journey_events(silver_table(spark, sf)), ts_cols=["ts"])
+
+
 @query("journey_stage", oracle(f"""
 select pseudonymized_user_id, partner_id, journey_date, session_count, total_engagement_min, {STAGE_SQL} as derived_stage
 from ({USER_DAY_SQL}) ud

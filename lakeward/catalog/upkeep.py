@@ -234,6 +234,48 @@ def erase_plan(spark, sf):
     return erasure.erase_plan(spark, targets, keys)
 
 
+@query("erase_rollup", oracle("").rstrip() + f""",
+silver_e as (select * from silver where user_id is null or user_id <> {ERASE_SUBJECT})
+select partner_id, cast(event_timestamp as date) as metric_date,
+       count(distinct user_id) as dau, count(distinct session_id) as total_sessions,
+       round(coalesce(sum(case when event_type = 'purchase' then duration_seconds / 60.0 else 0 end), 0), 6) as total_engagement_min,
+       cast(sum(case when event_type = 'click' then 1 else 0 end) as bigint) as exercise_completions,
+       count(distinct case when is_first_session = 'true' then user_id end) as new_signups
+from silver_e group by 1, 2
+""")
+def erase_rollup(spark, sf):
+    """V3 / hard part (g): erasing raw user 7 from silver also recomputes the
+    partner-day rows of the gold rollup that the erased rows fed; gold read back."""
+    root, targets, keys = _erasure_setup(spark, sf, "erase_rollup")
+    silver_t = targets[0]
+    gpath = f"{root}/gold/partner_dashboard"
+    stored = spark.read.schema(SILVER_DDL).parquet(silver_t.path)
+    writes.write_table(rollups.partner_daily(stored, VOCAB), gpath, ["metric_date"], cluster_by=["partner_id"])
+    gold_cols = [c.split()[0] for c in GOLD_DDL.split(", ")]
+    rollup = erasure.Rollup(gpath, ("partner_id", "metric_date"), ("metric_date",),
+                            {"partner_id": "partner_id", "event_date": "metric_date"},
+                            lambda rows: rollups.partner_daily(rows, VOCAB).select(*gold_cols), GOLD_DDL)
+    erasure.erase_subjects(spark, [silver_t], keys, f"{root}/_audit/erasures", "2024-02-01 00:00:00",
+                           rollups={silver_t.table: [rollup]})
+    g = spark.read.schema(GOLD_DDL).parquet(gpath)
+    return present(g.select(*rollups.DISPLAY_COLUMNS), dbl_cols=["total_engagement_min"])
+
+
+@query("erase_bronze", oracle(f"""
+select event_id, copy, user_id from raw where user_id is null or user_id <> '{ERASE_RAW_ID}'
+"""))
+def erase_bronze(spark, sf):
+    """V3: bronze keeps raw ids; it is erased through the same pseudonym
+    (the key is hashed on the fly, the raw id never enters the request)."""
+    root, _, keys = _erasure_setup(spark, sf, "erase_bronze")
+    bpath = f"{root}/bronze/engagement_events"
+    writes.write_table(raw(spark, sf).withColumn("ingest_date", F.to_date("ingest_timestamp")), bpath,
+                       ["ingest_date"])
+    t = erasure.Target("bronze.engagement_events", bpath, "user_id", ("ingest_date",), BRONZE_DDL, fixture.SALT)
+    erasure.erase_subjects(spark, [t], keys, f"{root}/_audit/erasures", "2024-02-01 00:00:00")
+    return spark.read.schema(BRONZE_DDL).parquet(bpath).select("event_id", "copy", "user_id")
+
+
 @query("erasure_audit")
 def erasure_audit(spark, sf):
     """K7/V5: audit rows of a dry run then a real run (pseudonyms only)."""

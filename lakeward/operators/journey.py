@@ -36,6 +36,16 @@ def user_day(silver: DataFrame, vocab: Vocabulary = REFERENCE_VOCAB, chunk: str
                   F.coalesce(F.sum(minutes), F.lit(0.0)).alias("total_engagement_min")))
 
 
+def journey_events(silver: DataFrame, chunk: str = "hour") -> DataFrame:
+    """U1, normalized: the sessionized events keyed by user-day, one row each.
+    Unlike the contract's ``events`` array it has no per-row size bound, so
+    a user-day of any size stays spread over tasks and files."""
+    s = sessionize(silver.where(F.col("user_id").isNotNull()), chunk=chunk)
+    return s.select(F.col("user_id").alias("pseudonymized_user_id"), "partner_id",
+                    F.to_date("event_timestamp").alias("journey_date"), "event_type",
+                    F.col("event_timestamp").alias("ts"), "session_id", "derived_session_id")
+
+
 def derive_stage(df: DataFrame, habitual: int = HABITUAL_MIN_SESSIONS, engaged: int = ENGAGED_MIN_SESSIONS,
                  lapsing_minutes: float = LAPSING_MAX_MINUTES) -> DataFrame:
     """Churned (no session), habitual, engaged, lapsing, else exploring."""

@@ -27,11 +27,27 @@ AUDIT_SCHEMA = ("request_id string, subject string, table_name string, rows_eras
 
 @dataclass(frozen=True)
 class Target:
+    """A table to erase from.  ``raw_salt`` is set for tables that hold raw
+    ids (bronze): their key is compared through the same pseudonym."""
     table: str
     path: str
     column: str
     partition_by: tuple = ()
     schema: str | None = None
+    raw_salt: str | None = None
+
+
+@dataclass(frozen=True)
+class Rollup:
+    """A derived table recomputed for the keys an erasure touched.
+    ``recompute(source_rows)`` maps rows of the erased source table to fresh
+    rollup rows; ``key_of`` maps source columns to the rollup's key columns."""
+    path: str
+    keys: tuple
+    partition_by: tuple
+    key_of: dict
+    recompute: object
+    schema: str | None = None
 
 
 def subjects(spark: SparkSession, raw_ids: DataFrame, column: str, salt: str) -> DataFrame:
@@ -62,9 +78,19 @@ def _read(spark: SparkSession, t: Target) -> DataFrame | None:
     return df if t.column in df.columns else None
 
 
+def _key(t: Target) -> F.Column:
+    return pseudonym(t.column, t.raw_salt) if t.raw_salt else F.col(t.column)
+
+
 def _hits(df: DataFrame, t: Target, keys: DataFrame) -> DataFrame:
-    k = joins.bounded_broadcast(keys.select(F.col("subject").alias(t.column)))
-    return df.join(k, t.column, "left_semi")
+    k = joins.bounded_broadcast(keys.select(F.col("subject").alias("__subject")))
+    return df.join(k, _key(t) == F.col("__subject"), "left_semi")
+
+
+def _survivors(df: DataFrame, t: Target, keys: DataFrame) -> DataFrame:
+    """``left_anti``: rows with a NULL key are kept (they match no subject)."""
+    k = joins.bounded_broadcast(keys.select(F.col("subject").alias("__subject")))
+    return df.join(k, _key(t) == F.col("__subject"), "left_anti")
 
 
 def erase_plan(spark: SparkSession, targets: list[Target], keys: DataFrame) -> DataFrame:
@@ -94,8 +120,12 @@ def erase_preview(spark: SparkSession, targets: list[Target], keys: DataFrame) -
 
 
 def erase_subjects(spark: SparkSession, targets: list[Target], keys: DataFrame, audit_path: str,
-                   as_of: str, dry_run: bool = False, request_id: str | None = None) -> dict:
-    """V2: erase the subjects from every target; returns rows erased per table."""
+                   as_of: str, dry_run: bool = False, request_id: str | None = None,
+                   rollups: dict | None = None) -> dict:
+    """V2: erase the subjects from every target; returns rows erased per
+    table.  ``rollups`` maps a target's table name to the ``Rollup`` tables
+    derived from it: their keys touched by the erased rows are recomputed
+    from the erased source (keys left without rows disappear)."""
     request_id = request_id or uuid.uuid4().hex[:12]
     per_subject = []
     counts = {}
@@ -105,7 +135,7 @@ def erase_subjects(spark: SparkSession, targets: list[Target], keys: DataFrame,
             counts[t.table] = 0
             continue
         hits = _hits(df, t, keys)
-        by_subject = hits.groupBy(F.col(t.column).alias("subject")).agg(F.count(F.lit(1)).alias("rows_erased"))
+        by_subject = hits.groupBy(_key(t).alias("subject")).agg(F.count(F.lit(1)).alias("rows_erased"))
         by_subject = by_subject.withColumn("table_name", F.lit(t.table))
         rows = by_subject.collect()                     # one row per requested subject
         n = sum(r["rows_erased"] for r in rows)
@@ -113,14 +143,26 @@ def erase_subjects(spark: SparkSession, targets: list[Target], keys: DataFrame,
         per_subject += [(request_id, r["subject"], t.table, r["rows_erased"], not dry_run) for r in rows]
         if dry_run or n == 0:
             continue
-        k = joins.bounded_broadcast(keys.select(F.col("subject").alias(t.column)))
+        derived = (rollups or {}).get(t.table, [])
+        touched_keys = {}
+        for r in derived:     # keys of the derived rows the erased rows fed (stored before the rewrite)
+            cols = [F.col(src).alias(dst) for src, dst in r.key_of.items()]
+            path = f"{t.path.rstrip('/')}__erase_keys_{request_id}_{len(touched_keys)}"
+            hits.select(*cols).distinct().write.mode("overwrite").parquet(path)
+            touched_keys[r.path] = spark.read.parquet(path)
         if t.partition_by:
             touched = [tuple(r) for r in hits.select(*t.partition_by).distinct().collect()]
-            survivors = df.where(writes._partition_predicate(list(t.partition_by), touched)) \
-                          .join(k, t.column, "left_anti")
+            survivors = _survivors(df.where(writes._partition_predicate(list(t.partition_by), touched)), t, keys)
             writes.replace_partitions(spark, survivors, t.path, list(t.partition_by), touched)
         else:
-            writes.replace_table(spark, df.join(k, t.column, "left_anti"), t.path)
+            writes.replace_table(spark, _survivors(df, t, keys), t.path)
+        for r in derived:
+            src = spark.read.schema(t.schema).parquet(t.path) if t.schema else spark.read.parquet(t.path)
+            tk = touched_keys[r.path]
+            on = [src[src_c] == tk[dst] for src_c, dst in r.key_of.items()]
+            scope = src.join(joins.bounded_broadcast(tk), on, "left_semi")
+            fresh = r.recompute(scope)
+            writes.replace_keys(spark, r.path, fresh, tk, list(r.keys), list(r.partition_by), r.schema)
     audit = spark.createDataFrame(per_subject or [(request_id, None, None, 0, not dry_run)],
                                   "request_id string, subject string, table_name string, rows_erased bigint, "
                                   "executed boolean")

@@ -203,6 +203,26 @@ def upsert(spark: SparkSession, target: str, updates: DataFrame, keys: list[str]
     replace_partitions(spark, merged, target, partition_by, touched, fmt, cluster_by)
 
 
+def replace_keys(spark: SparkSession, target: str, fresh: DataFrame, touched_keys: DataFrame, keys: list[str],
+                 partition_by: list[str], schema: str | None = None, fmt: str = "parquet") -> None:
+    """Recompute a keyed table for a set of keys: every touched key is
+    removed and ``fresh`` (the recomputed rows; a key without rows there
+    disappears) is put in.  Only partitions holding a touched key are
+    rewritten.  ``upsert`` is the case where the touched keys are the keys of
+    ``fresh``."""
+    if duplicate_keys(fresh, keys):
+        raise UpsertError(f"fresh rows hold duplicate keys on {keys}")
+    reader = spark.read.format(fmt)
+    if schema:
+        reader = reader.schema(schema)
+    current = reader.load(target)
+    touched = sorted(set(_partitions_of(spark, touched_keys, partition_by))
+                     | set(_partitions_of(spark, fresh, partition_by)), key=str)
+    in_touched = current.where(_partition_predicate(partition_by, touched))
+    kept = in_touched.join(touched_keys.select(*keys).distinct(), keys, "left_anti")
+    replace_partitions(spark, kept.unionByName(fresh.select(*current.columns)), target, partition_by, touched, fmt)
+
+
 # -- quarantine, retention, serving ---------------------------------------------------------
 
 def append_quarantine(rejected: DataFrame, root: str, contract: str, step: str, run_id: str,
