@@ -107,3 +107,62 @@ def test_erase_then_preview_is_zero_and_empty_partitions_go(spark, tmp_dir):
 def test_fixture_raw_single_scan(spark):
     plan = fixture.raw_events(spark, SF01)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 2            # events + customer, once each
+
+
+def test_erasure_recomputes_rollup_keys(spark, tmp_dir):
+    """Erasing a subject rewrites the derived rollup rows it fed, and a key
+    whose only rows were the subject's disappears."""
+    ddl = "user_id string, partner_id string, v int, d string"
+    rows = [("pa", "p1", 1, "x"), ("pb", "p1", 2, "x"), ("pa", "p2", 3, "y")]
+    src = f"{tmp_dir}/src"
+    writes.write_table(spark.createDataFrame(rows, ddl), src, ["d"])
+    roll_ddl = "partner_id string, total bigint, users bigint, d string"
+
+    def recompute(r):
+        return r.groupBy("partner_id", "d").agg(F.sum("v").cast("bigint").alias("total"),
+                                                F.count_distinct("user_id").alias("users"))
+    gold = f"{tmp_dir}/gold"
+    writes.write_table(recompute(spark.read.schema(ddl).parquet(src)), gold, ["d"])
+    keys = spark.createDataFrame([("pa",)], "subject string")
+    t = erasure.Target("src", src, "user_id", ("d",), ddl)
+    r = erasure.Rollup(gold, ("partner_id", "d"), ("d",), {"partner_id": "partner_id", "d": "d"}, recompute, roll_ddl)
+    erasure.erase_subjects(spark, [t], keys, f"{tmp_dir}/audit", "2024-02-01 00:00:00", rollups={"src": [r]})
+    out = sorted(tuple(x) for x in spark.read.schema(roll_ddl).parquet(gold).collect())
+    assert out == [("p1", 2, 1, "x")]                  # p2/y only had the subject's rows: gone
+
+
+def test_erasure_of_raw_id_table(spark, tmp_dir):
+    ddl = "user_id string, v int, d string"
+    path = f"{tmp_dir}/bronze"
+    writes.write_table(spark.createDataFrame([("7", 1, "x"), ("8", 2, "x"), (None, 3, "y")], ddl), path, ["d"])
+    keys = erasure.subjects(spark, spark.createDataFrame([("7",)], "r string"), "r", "salt")
+    t = erasure.Target("bronze", path, "user_id", ("d",), ddl, raw_salt="salt")
+    assert erasure.erase_subjects(spark, [t], keys, f"{tmp_dir}/audit", "2024-02-01 00:00:00") == {"bronze": 1}
+    assert sorted(r["v"] for r in spark.read.schema(ddl).parquet(path).collect()) == [2, 3]
+
+
+def test_one_pass_set_operations_match_builtin(spark):
+    from lakeward.operators import sets
+    a = spark.createDataFrame([(1,), (1,), (2,), (3,)], "x int")
+    b = spark.createDataFrame([(1,), (3,), (3,), (4,)], "x int")
+    one = sorted(tuple(r) for r in sets.difference_both_ways(a, b, "l", "r").collect())
+    two = sorted(tuple(r) for r in sets.difference_both_ways_except_all(a, b, "l", "r").collect())
+    assert one == two == [(1, "l"), (2, "l"), (3, "r"), (4, "r")]
+    days = spark.createDataFrame([("u1", 1), ("u1", 2), ("u2", 1), ("u3", 2), ("u3", 2)], "u string, d int")
+    assert sorted(r[0] for r in sets.present_in_all(days, "u", "d", [1, 2]).collect()) == ["u1"]
+    assert sorted(r[0] for r in sets.common(days.where("d = 1").select("u"), days.where("d = 2").select("u")).collect()) == ["u1"]
+
+
+def test_approx_dau_error_bound(spark):
+    from lakeward.catalog import QUERIES
+    rows = QUERIES["approx_dau"](spark, SF01).collect()
+    assert all(abs(r["dau_approx"] - r["dau"]) <= max(1, 0.05 * r["dau"]) for r in rows)
+
+
+def test_table_registry_resolves_dotted_names(spark, tmp_dir):
+    from lakeward.sources.tables import TableRegistry
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{tmp_dir}/silver/partners")
+    reg = TableRegistry(spark, tmp_dir)
+    assert reg.get("silver.partners", "x int").count() == 1
+    reg.register("gold.x", spark.createDataFrame([(2,)], "x int"))
+    assert "gold.x" in reg and reg.get("gold.x").first()["x"] == 2
