@@ -116,3 +116,13 @@ def stream_stage(spark, sf):
     root = _landing(spark, sf, "stream_stage")
     path = stateful.running_stage(spark, f"{root}/landing", root, f"{root}/_ckpt/stage", fixture.SALT, VOCAB)
     return spark.read.schema(stateful.OUT_SCHEMA).parquet(path)
+
+
+@query("stream_volume")
+def stream_volume(spark, sf):
+    """Volume and freshness of the stream from ``observe`` metrics of the
+    same pass (no second job over the data); one row."""
+    root = _landing(spark, sf, "stream_volume")
+    m = jobs.observed_metrics(spark, f"{root}/landing", f"{root}/_ckpt/volume")
+    return spark.createDataFrame([(m["rows"], m["within_sla"], m["max_lag_s"])],
+                                 "rows bigint, within_sla bigint, max_lag_s bigint")
