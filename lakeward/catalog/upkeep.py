@@ -415,3 +415,20 @@ def contract_changes(spark, sf):
     return (ch.join(impact, ["field", "change"], "left")
               .select("contract", "field", "change", "class", "values_removed",
                       F.coalesce("rows_affected", F.lit(0).cast("bigint")).alias("rows_affected")))
+
+
+@query("product_flow", oracle(f"select {GOLD_BASIC} from gold"))
+def product_flow(spark, sf):
+    """The demo flow end to end: raw deliveries -> engagement product (bronze,
+    silver, quarantine) -> partner dashboard gold -> user journey gold, every
+    product gated and written through the runner; the dashboard gold read
+    back.  The fixture's ghost partners fail the reference-table rules, so the
+    products run with the ``warn`` policy here (``run_history`` shows the
+    declared policy blocking)."""
+    from lakeward.plans import flow
+
+    root = workspace(spark, "product_flow")
+    refs = {"silver.partners": fixture.partners(spark, sf)}
+    res = flow.run_flow(spark, raw(spark, sf), root, fixture.SALT, "2024-02-01 00:00:00", VOCAB, refs, "warn")
+    g = spark.read.parquet(res.dashboard.outputs["target"])
+    return present(g.select(*rollups.DISPLAY_COLUMNS), dbl_cols=["total_engagement_min"])

@@ -41,15 +41,6 @@ class Rule:
     kind: str = "min"             # min: actual >= threshold; max: actual <= threshold; eq
 
 
-def _passed(r: Rule) -> Column:
-    a = F.col("actual")
-    if r.threshold is None:
-        return F.lit(True)
-    t = F.lit(float(r.threshold))
-    cond = {"min": a >= t, "max": a <= t, "eq": a == t}[r.kind]
-    return F.coalesce(cond, F.lit(True))      # empty input: nothing to fail
-
-
 def completeness(column: str, threshold: float) -> Rule:
     """Q1: share of non-NULL values; fails when strictly below the threshold."""
     return Rule("completeness", column, F.avg(F.col(column).isNotNull().cast("double")), threshold)
@@ -181,19 +172,48 @@ def quality_rules(product: Product) -> list[Rule]:
     return rules
 
 
-def blocking_failures(report_rows: list, on_failure: str) -> list[dict]:
+def blocking_failures(report_rows: list, on_failure: str, non_blocking: set | None = None) -> list[dict]:
     """Q8: which failed rules block the write.  Schema failures always block;
-    quality failures block for any ``block_*`` policy."""
+    quality failures block for any ``block_*`` policy, except rules whose own
+    ``on_failure`` is a non-blocking action (``alert_squad``, ``warn``)."""
     failed = [r.asDict() if hasattr(r, "asDict") else dict(r) for r in report_rows if not r["passed"]]
     schema_kinds = {"missing_column", "type_mismatch", "allowed_values", "not_null"}
     blocks = on_failure.startswith("block")
-    return [f for f in failed if f["rule"] in schema_kinds or blocks]
+    quiet = non_blocking or set()
+    return [f for f in failed if f["rule"] in schema_kinds or (blocks and f["rule"] not in quiet)]
+
 
+def non_blocking_rules(product: Product) -> set:
+    return {b["name"] for b in product.quality.business_rules
+            if b.get("on_failure") and not str(b["on_failure"]).startswith("block")}
 
-def gate(report: DataFrame, on_failure: str) -> list[dict]:
+
+def gate(report: DataFrame, on_failure: str, non_blocking: set | None = None) -> list[dict]:
     """Collect the (small, one row per rule) report and raise if it blocks."""
     rows = report.collect()
-    blocking = blocking_failures(rows, on_failure)
+    blocking = blocking_failures(rows, on_failure, non_blocking)
     if blocking:
         raise GateError(blocking)
     return [r.asDict() for r in rows]
+
+
+def sql_rules(df: DataFrame, business_rules: list[dict], table: str | None = None) -> list[dict]:
+    """Q5, SQL form: ``SELECT COUNT(*) FROM {output} WHERE ..`` compared with
+    ``expected``.  The text runs over the candidate frame (not over the table
+    already written), with a legacy table name replaced as a whole word.
+    Each SQL rule is its own small job; expression rules (``violation``)
+    should be preferred, they share the single aggregate of ``evaluate``."""
+    import re
+
+    out = []
+    for b in business_rules:
+        if "sql" not in b:
+            continue
+        text = b["sql"]
+        if table:
+            text = re.sub(rf"(?<![\w.]){re.escape(table)}(?![\w])", "{output}", text)
+        value = df.sparkSession.sql(text, output=df).first()[0]
+        expected = float(b.get("expected", 0))
+        out.append(dict(rule=b["name"], column="", actual=float(value or 0), threshold=expected,
+                        passed=float(value or 0) == expected))
+    return out

@@ -3,8 +3,12 @@ gate -> swap/upsert -> quarantine append -> run-history row.
 
 Checks run over the *staged* output (a written table: it cuts the lineage and
 is read back column-pruned), so the source is computed once for the output
-and once for the quarantine, never once per rule.  Per-step row counts come
-from ``Observation`` metrics gathered by those same writes: no extra jobs.
+and once for the quarantine, never once per rule.  Row accounting: output
+rows come from the same single checks aggregate, rejected rows from
+``Observation`` metrics of the quarantine writes, input rows from the staged
+bronze table.  (An observation placed under the range-partitioned output
+write would be counted twice, since range partitioning samples its input
+with a separate job.)
 """
 
 from __future__ import annotations
@@ -67,7 +71,7 @@ def apply_steps(spark: SparkSession, df: DataFrame, product: Product, salt: str,
         elif st.type == "sql":
             out = steps.sql_step(spark, out, p["sql"], table=p.get("table"))
         elif st.type == "expr":
-            out = steps.expr_step(out, p["column"], p["expression"])
+            out = steps.expr_step(out, p["column"], p["expression"].replace("{as_of}", _as_of_sql(as_of)))
         elif st.type == "pyspark_function":
             out = steps.function_step(out, p["function"])
         elif st.type == "join":
@@ -79,9 +83,6 @@ def apply_steps(spark: SparkSession, df: DataFrame, product: Product, salt: str,
             out = steps.upgrade_bag(out, p["column"], p["fields"], p.get("new_columns"))
         elif st.type == "merge":
             merge = {"keys": list(p.get("match_on", [])), "target": p.get("target")}
-        ob = Observation(f"{st.name}:kept")
-        out = out.observe(ob, F.count(F.lit(1)).alias("n"))
-        observations[f"{st.name}:kept"] = ob
     return out, rejected, observations, merge
 
 
@@ -129,7 +130,8 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
         writes.append_quarantine(rej, q_root, product.name, step_name, run_id, as_of)
 
     staged_df = spark.read.format(t.format).load(staged)
-    rules = checks.schema_rules(staged_df, product) + checks.quality_rules(product)
+    rules = ([checks.Rule("row_count", "", F.count(F.lit(1)).cast("double"), None)]
+             + checks.schema_rules(staged_df, product) + checks.quality_rules(product))
     ref_rules = [r for r in rules if r.rule == "in_reference_table"]
     frame = staged_df
     for r in ref_rules:
@@ -141,12 +143,15 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
             continue
         frame = joins.flag_reference(frame, ref, r.column, flag=f"__ref_{r.column}")
     static = checks.schema_static(staged_df, product, check_types=False)
+    static += checks.sql_rules(staged_df, list(product.quality.business_rules))
     report = [row.asDict() for row in checks.evaluate(frame, rules, static).collect()]
-    blocking = checks.blocking_failures(report, product.quality.on_failure)
+    blocking = checks.blocking_failures(report, product.quality.on_failure, checks.non_blocking_rules(product))
 
     counts = {k: int(o.get.get("n", 0)) for k, o in obs.items()}
-    rows_out = counts.get(f"{product.steps[-1].name}:kept", 0) if product.steps else staged_df.count()
+    rows_out = int(next(r["actual"] for r in report if r["rule"] == "row_count"))
     rows_rej = sum(v for k, v in counts.items() if k.endswith(":rejected"))
+    rows_in = spark.read.format(bronze.format).load(b_staged).count() if bronze.enabled else source.count()
+    counts["output"] = rows_out
     status = "blocked" if blocking else "written"
     if not blocking:
         if merge.get("keys") and writes.exists(spark, target):
@@ -159,7 +164,7 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
 
     failed = [f"{r['rule']}[{r['column']}]" for r in report if not r["passed"]]
     runs = spark.createDataFrame(
-        [(run_id, product.name, product.version, None, status, rows_out + rows_rej, rows_out, rows_rej,
+        [(run_id, product.name, product.version, None, status, rows_in, rows_out, rows_rej,
           counts, failed)], RUNS_SCHEMA).withColumn("as_of", F.try_to_timestamp(F.lit(as_of)))
     runs.write.mode("append").parquet(f"{root}/_runs")
     result = RunResult(run_id, status, rows_out, rows_rej, counts, report,
