@@ -126,3 +126,25 @@ def stream_volume(spark, sf):
     m = jobs.observed_metrics(spark, f"{root}/landing", f"{root}/_ckpt/volume")
     return spark.createDataFrame([(m["rows"], m["within_sla"], m["max_lag_s"])],
                                  "rows bigint, within_sla bigint, max_lag_s bigint")
+
+
+@query("stream_silver_rollup", GOLD_SQL)
+def stream_silver_rollup(spark, sf):
+    """Silver appended in two loads; the dashboard rollup follows the
+    silver table as a stream (two runs of the same query, one checkpoint)."""
+    from lakeward.catalog.common import silver
+
+    root = workspace(spark, "stream_silver_rollup")
+    spath = f"{root}/silver"
+    s = silver(spark, sf).withColumn("event_date", F.to_date("event_timestamp")).select(
+        *[c.split()[0] for c in jobs.SILVER_DDL.split(", ")])
+    cut = F.lit("2024-01-16").cast("date")
+    s.where(F.col("event_date") < cut).write.mode("append").partitionBy("event_date").parquet(spath)
+    ckpt = f"{root}/_ckpt/silver_rollup"
+    jobs.rollup_from_silver_stream(spark, spath, root, ckpt, VOCAB)
+    s.where(F.col("event_date") >= cut).write.mode("append").partitionBy("event_date").parquet(spath)
+    gold = jobs.rollup_from_silver_stream(spark, spath, root, ckpt, VOCAB)
+    g = spark.read.schema(jobs.GOLD_DDL).parquet(gold)
+    return present(g.select("partner_id", "metric_date", "dau", "total_sessions", "total_engagement_min",
+                            "exercise_completions", "new_signups", "top_event_types"),
+                   dbl_cols=["total_engagement_min"], arr_cols=["top_event_types"])
