@@ -128,6 +128,18 @@ def volume_anomalies(spark, sf):
     return present(v, dbl_cols=["prev_avg"])
 
 
+@query("volume_expected", oracle("""
+select cast(event_timestamp as date) as day, count(*) as events, round(count(*) / 1440.0, 6) as events_per_minute,
+       count(*) / 1440.0 < 8000 * 50 / 100.0 as alert
+from silver group by 1
+"""))
+def volume_expected(spark, sf):
+    """Q6 (contract): expected 8000 events/minute, alert below 50 %."""
+    vol = products.product("engagement_events").quality.volume
+    v = rollups.volume_vs_expected(silver(spark, sf), vol["expected_events_per_minute"], vol["alert_if_below_pct"])
+    return present(v, dbl_cols=["events_per_minute"])
+
+
 @query("freshness", oracle("""
 select day, count(*) as events, round(quantile_cont(lag_s, 0.95), 6) as p95_lag_s,
        round(avg(case when lag_s <= 120 then 1.0 else 0.0 end), 6) as within_sla

@@ -67,6 +67,18 @@ def stream_rollup(spark, sf):
                    dbl_cols=["total_engagement_min"], arr_cols=["top_event_types"])
 
 
+@query("stream_serving", oracle("""
+select metric_date, partner_id, dau, total_sessions, round(total_engagement_min, 6) as total_engagement_min from gold
+"""))
+def stream_serving(spark, sf):
+    """K8: the serving extract kept by ``foreachBatch`` next to the streaming gold."""
+    root = _landing(spark, sf, "stream_serving")
+    out = jobs.exact_rollup(spark, f"{root}/landing", root, f"{root}/_ckpt/serving", fixture.SALT, VOCAB, serving=True)
+    g = spark.read.schema(jobs.GOLD_DDL).parquet(out["serving"])
+    return present(g.select("metric_date", "partner_id", "dau", "total_sessions", "total_engagement_min"),
+                   dbl_cols=["total_engagement_min"])
+
+
 @query("stream_hourly")
 def stream_hourly(spark, sf):
     """Tumbling 1-hour windows per partner, append mode (final windows only)."""

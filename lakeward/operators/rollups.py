@@ -193,6 +193,16 @@ def volume_anomalies(events: DataFrame, ts: str = "event_timestamp", window_days
                                                    F.lit(False))))
 
 
+def volume_vs_expected(events: DataFrame, expected_per_minute: float, alert_below_pct: float,
+                       ts: str = "event_timestamp") -> DataFrame:
+    """Q6, contract form: the day's mean rate per minute against the expected
+    rate; an alert when it falls below ``alert_below_pct`` percent of it."""
+    daily = events.groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("events"))
+    rate = F.col("events") / F.lit(1440.0)
+    return daily.select("day", "events", rate.alias("events_per_minute"),
+                        (rate < F.lit(expected_per_minute * alert_below_pct / 100.0)).alias("alert"))
+
+
 def freshness(events: DataFrame, sla_minutes: float) -> DataFrame:
     """Q7: per day, exact p95 of ingest lag (seconds) and share inside the SLA."""
     lag = (F.unix_timestamp("ingest_timestamp") - F.unix_timestamp("event_timestamp")).alias("lag_s")

@@ -113,10 +113,13 @@ def dedup_to_table(spark: SparkSession, landing: str, root: str, checkpoint: str
 
 
 def exact_rollup(spark: SparkSession, landing: str, root: str, checkpoint: str, salt: str,
-                 vocab: Vocabulary = REFERENCE_VOCAB, max_files: int | None = None) -> dict:
+                 vocab: Vocabulary = REFERENCE_VOCAB, max_files: int | None = None,
+                 serving: bool = False) -> dict:
     """Silver upserted per batch on event_id, then the partner-day
-    rows the batch touched recomputed from silver and upserted into gold."""
-    silver_path, gold_path = f"{root}/silver", f"{root}/gold"
+    rows the batch touched recomputed from silver and upserted into gold.
+    With ``serving``, the touched days of the compacted, sorted serving
+    extract (K8) are rewritten from gold in the same batch."""
+    silver_path, gold_path, serving_path = f"{root}/silver", f"{root}/gold", f"{root}/serving"
     src = on_time_deduplicated(spark, landing, salt, max_files=max_files)
 
     def each(batch: DataFrame, batch_id: int):
@@ -130,10 +133,14 @@ def exact_rollup(spark: SparkSession, landing: str, root: str, checkpoint: str,
         gold_cols = [c.split()[0] for c in GOLD_DDL.split(", ")]
         writes.upsert(spark, gold_path, fresh.select(*gold_cols), ["partner_id", "metric_date"], ["metric_date"],
                       schema=GOLD_DDL)
+        if serving:
+            day_rows = (spark.read.schema(GOLD_DDL).parquet(gold_path).where(F.col("metric_date").isin(*days))
+                        .repartition("metric_date").sortWithinPartitions("metric_date", "partner_id"))
+            writes.replace_partitions(spark, day_rows, serving_path, ["metric_date"], [(d,) for d in days])
 
     _run(src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    return {"silver": silver_path, "gold": gold_path}
+    return {"silver": silver_path, "gold": gold_path, "serving": serving_path}
 
 
 def windowed_counts(spark: SparkSession, landing: str, root: str, checkpoint: str, salt: str,
