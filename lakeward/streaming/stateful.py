@@ -23,6 +23,17 @@ from lakeward.operators.sessions import SESSION_GAP_SECONDS
 from lakeward.sinks import writes
 from lakeward.streaming.jobs import _run, on_time_deduplicated
 
+# The state function runs in Python workers.  Pickle this module's functions
+# by value, so workers only need pandas/pyarrow, not this package on their path.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: the package must then be on the workers' path
+    pass
+
 OUT_SCHEMA = "user_id string, journey_date date, session_count int, total_engagement_min double, derived_stage string"
 STATE_SCHEMA = "day date, last_s long, sessions int, minutes double"
 
