@@ -142,7 +142,7 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
             rules.remove(r)
             continue
         frame = joins.flag_reference(frame, ref, r.column, flag=f"__ref_{r.column}")
-    static = checks.schema_static(staged_df, product, check_types=False)
+    static = checks.schema_static(staged_df, product, check_types=True)
     static += checks.sql_rules(staged_df, list(product.quality.business_rules))
     report = [row.asDict() for row in checks.evaluate(frame, rules, static).collect()]
     blocking = checks.blocking_failures(report, product.quality.on_failure, checks.non_blocking_rules(product))
