@@ -75,3 +75,11 @@ def test_malformed_lines_are_quarantined(spark, tmp_dir):
     out = jobs.land(spark, land, tmp_dir, f"{tmp_dir}/ckpt")
     assert spark.read.parquet(out["bronze"]).count() == 1
     assert spark.read.parquet(out["quarantine"]).count() == 2
+
+
+def test_stateful_module_is_pickled_by_value():
+    """Workers run the state function without this package on their path."""
+    from pyspark import cloudpickle
+
+    import lakeward.streaming.stateful as st
+    assert st.__name__ in cloudpickle.list_registry_pickle_by_value()
