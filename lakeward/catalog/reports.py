@@ -162,8 +162,9 @@ select cast(date_trunc('week', f.first_day) as date) as cohort_week, cast(datedi
 from active a join firsts f using (user_id) group by 1, 2
 """)
 def retention_curve(spark, sf):
-    """Retention by signup-week cohort and day offset."""
-    return rollups.retention_curve(silver(spark, sf))
+    """Retention by signup-week cohort and day offset (reads its input
+    twice, so it is fed the stored silver table)."""
+    return rollups.retention_curve(silver_table(spark, sf))
 
 
 @query("latest_events", oracle("""
