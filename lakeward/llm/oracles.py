@@ -73,8 +73,8 @@ sh AS (
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM docs WHERE len(w) > 0)),
 size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 near AS (
-  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2)
-  JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * both >= 80 * (p.n + q.n - both)),
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2)
+  JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * n_both >= 80 * (p.n + q.n - n_both)),
 edges AS MATERIALIZED (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
 reach AS (SELECT doc_id AS node, doc_id AS low FROM docs UNION SELECT e.b, r.low FROM reach r JOIN edges e ON e.a = r.node),
 comp AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node)
