@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeward.llm.anchors import covered_mask, repeated_runs, span_arrays, spans_of, window_starts, word_symbols
-from lakeward.llm.textkit import _A, mix, signed, slices, window_hash, words
+from lakeward.llm.textkit import _A, mix, prefix, rolled, signed, slices, words
 
 WINDOW = 20
 ANCHOR = 6                   # words of an anchor
@@ -52,7 +52,7 @@ def open_windows(symbols, length: int, same_doc: bool):
                 np.add.at(wanted, hi, -1)
                 pick = (np.cumsum(wanted)[:-1] > 0)[at]
                 at, doc = at[pick], doc[pick]
-                parts.append((window_hash(x, length)[at], window_hash(mix(x ^ _A), length)[at],
+                parts.append((mix(rolled(prefix(x), at, length)), rolled(prefix(mix(x ^ _A)), at, length),
                               rows.column(0).to_numpy(zero_copy_only=False)[doc], at - bounds[:-1][doc]))
             if not parts:
                 continue
@@ -109,5 +109,5 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW, anchor: int = ANCHOR)
             .unionByName(later_windows(known, runs.filter("not covered"), word_symbols, length, True)))
     ddl = "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"
     out = known.join(spans_of(gone), "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_cut(length), ddl)
-    none = loose.select("doc_id", "text", F.lit(None).cast("array<struct<pos:int,n:int>>").alias("spans")).mapInArrow(_cut(length), ddl)
+    none = loose.select("doc_id", "text", F.lit(None).cast("array<bigint>").alias("spans")).mapInArrow(_cut(length), ddl)
     return out.unionByName(none)

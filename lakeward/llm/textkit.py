@@ -122,16 +122,54 @@ def window_hash(x: np.ndarray, k: int) -> np.ndarray:
         width *= 2
 
 
+_BASE = 0x9E3779B97F4A7C15 | 5
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..n-1 of an odd base and of its inverse modulo 2^64; kept by the worker for slice-sized inputs."""
+    if _POWERS and len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        p = np.full(max(n, 1), base, dtype=np.uint64)
+        p[0] = 1
+        out.append(np.cumprod(p, dtype=np.uint64))
+    if n <= SLICE_BYTES + 1:
+        _POWERS[:] = out
+    return out[0], out[1]
+
+
+def prefix(x: np.ndarray) -> np.ndarray:
+    """Running sums of symbols times powers, from which ``rolled`` takes any window."""
+    out = np.zeros(len(x) + 1, dtype=np.uint64)
+    np.cumsum(x * _powers(len(x) + 1)[0][:len(x)], out=out[1:])
+    return out
+
+
+def rolled(sums: np.ndarray, at: np.ndarray | slice, k: int) -> np.ndarray:
+    """Polynomial hash of the ``k`` symbols from each start; equal windows have equal hashes wherever they stand."""
+    lo = sums[at]
+    hi = sums[slice(at.start + k, at.stop + k)] if isinstance(at, slice) else sums[at + k]
+    return (hi - lo) * _powers(len(sums))[1][at]
+
+
 def winnow(g: np.ndarray, valid: np.ndarray, w: int) -> np.ndarray:
     """For every start in ``valid`` the index of the smallest of the ``w``
-    values of ``g`` from there (the last of equals)."""
-    best, at = g[valid], np.zeros(len(valid), dtype=np.int64)
-    for j in range(1, w):
-        v = g[valid + j]
-        less = v <= best
-        best = np.where(less, v, best)
-        at[less] = j
-    return valid + at
+    values of ``g`` from there, by their upper 40 bits (the last of equals)."""
+    out, most = np.empty(len(valid), dtype=np.int64), 1 << 24
+    for lo in range(0, len(g), most - w):                     # one pass unless a text is longer than 16M symbols
+        part = g[lo:lo + most]
+        low = (part & ~np.uint64(most - 1)) | (np.uint64(most - 1) - np.arange(len(part), dtype=np.uint64))
+        width = 1
+        while 2 * width <= w:
+            low = np.minimum(low[:-width], low[width:]) if len(low) > width else low[:0]
+            width *= 2
+        here = (valid >= lo) & (valid < lo + most - w) if len(g) > most - w else slice(None)
+        v = valid[here] - lo
+        best = np.minimum(low[v], low[v + w - width])
+        out[here] = lo + (most - 1) - (best & np.uint64(most - 1)).astype(np.int64)
+    return out
 
 
 def signed(x: np.ndarray) -> np.ndarray:
