@@ -76,7 +76,7 @@ def _settle(anchor, ctx, doc, pos, n, place, same_doc: bool) -> list[np.ndarray]
     head = np.ones(len(doc), dtype=bool)
     head[1:] = (anchor[1:] != anchor[:-1]) | (ctx[1:] != ctx[:-1])
     lead = np.flatnonzero(head)[np.cumsum(head) - 1]
-    done = ~head if same_doc else doc > doc[lead]
+    done = (doc != doc[lead]) | (pos != pos[lead]) if same_doc else doc > doc[lead]
     d, p, m = doc[done], pos[done], n[done]
     order = np.lexsort((p, d))
     d, p, m = d[order], p[order], m[order]
@@ -125,7 +125,7 @@ def repeated_runs(docs: DataFrame, symbols, length: int, k: int, same_doc: bool)
     runs = docs.select("doc_id", "text").mapInArrow(_run_task(symbols, length, k, same_doc), RUN_DDL)
     key = Window.partitionBy("anchor")
     text = Window.partitionBy("anchor", "ctx").orderBy("doc_id", "pos")
-    first = (F.row_number().over(text) > 1) if same_doc else (F.col("doc_id") > F.first("doc_id").over(text))
+    first = (F.rank().over(text) > 1) if same_doc else (F.col("doc_id") > F.first("doc_id").over(text))
     out = (runs.withColumn("later", first)
            .withColumns({"open": F.min("ctx").over(key) != F.max("ctx").over(key), "crowd": F.count("*").over(key)})
            .withColumn("covered", (F.col("ctx").bitwiseAND(F.lit(1)) == 1) | F.col("later")).filter("covered or open"))

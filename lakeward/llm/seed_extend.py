@@ -62,7 +62,7 @@ def open_windows(symbols, length: int, same_doc: bool):
             head = np.ones(len(doc), dtype=bool)
             head[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
             lead = np.flatnonzero(head)[np.cumsum(head) - 1] if len(doc) else np.zeros(0, np.int64)
-            done = ~head if same_doc else doc > doc[lead]
+            done = (doc != doc[lead]) | (pos != pos[lead]) if same_doc else doc > doc[lead]
             spread = mix(doc.view(np.uint64) * _A + pos.astype(np.uint64) + np.uint64(1))
             w1 = np.where(done, spread, w1)
             yield pa.RecordBatch.from_arrays([pa.array(signed(w1)), pa.array(signed(w2)), pa.array(doc), pa.array(pos.astype(np.int32)),
@@ -76,7 +76,7 @@ def later_windows(docs: DataFrame, runs: DataFrame, symbols, length: int, same_d
     rows = (docs.join(spans_of(runs), "doc_id").select("doc_id", "text", "spans")
             .mapInArrow(open_windows(symbols, length, same_doc), "w1 bigint, w2 bigint, doc_id bigint, pos int, n int, done boolean"))
     w = Window.partitionBy("w1", "w2").orderBy("doc_id", "pos")
-    later = (F.row_number().over(w) > 1) if same_doc else (F.col("doc_id") > F.first("doc_id").over(w))
+    later = (F.rank().over(w) > 1) if same_doc else (F.col("doc_id") > F.first("doc_id").over(w))
     return rows.withColumn("later", later).filter("done or later").select("doc_id", "pos", "n")
 
 

@@ -174,8 +174,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
     counts = stored(pages.select("host", "html").mapInArrow(_features, "host string, path string, kind string, value bigint")
                     .groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c")), "style-counts")
     hosts = pages.groupBy("host").agg(F.count("*").alias("all_pages"))
-    node = counts.join(hosts, "host").groupBy("host", "path", "kind").agg(
-        F.sum("c").alias("n"), F.max("all_pages").alias("all_pages"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.max("c").alias("most"))
+    node = (counts.groupBy("host", "path", "kind").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
+            .join(hosts, "host"))                                                # a row per host and style by now
     scale = F.greatest(F.log(F.col("all_pages").cast("double")), F.lit(1e-9))
     entropy = F.col("clogc") / F.col("n") / scale                                # mean entropy of the node's blocks
     shape = (F.log("n") - F.col("clogc") / F.col("n")) / F.greatest(F.log(F.col("n").cast("double")), F.lit(1e-9))
