@@ -89,7 +89,7 @@ def evaluate(df: DataFrame, rules: list[Rule], static: list[dict] | None = None)
     if rules:
         row = df.agg(*[r.actual.alias(f"__a{i}") for i, r in enumerate(rules)])
         structs = [F.struct(F.lit(r.rule).alias("rule"), F.lit(r.column).alias("column"),
-                            F.round(F.col(f"__a{i}").cast("double"), 6).alias("actual"),
+                            F.col(f"__a{i}").cast("double").alias("actual"),
                             F.lit(r.threshold).cast("double").alias("threshold"),
                             F.lit(i).alias("i"))
                    for i, r in enumerate(rules)]
@@ -98,8 +98,10 @@ def evaluate(df: DataFrame, rules: list[Rule], static: list[dict] | None = None)
         a, t = F.col("actual"), F.col("threshold")
         ok = (F.when(t.isNull(), F.lit(True))
                .when(kinds == "min", a >= t).when(kinds == "max", a <= t).otherwise(a == t))
-        parts.append(long.select("rule", "column", "actual", "threshold",
-                                 F.coalesce(ok, F.lit(True)).alias("passed")))
+        # the verdict is on the exact value; rounding is for the report.  A table without
+        # rows has no completeness and fails that rule; the others hold trivially.
+        parts.append(long.select("rule", "column", F.round(a, 6).alias("actual"), "threshold",
+                                 F.coalesce(ok, F.col("rule") != "completeness").alias("passed")))
     if static:
         parts.append(spark.createDataFrame([(s["rule"], s["column"], float(s["actual"]),
                                              float(s["threshold"]), bool(s["passed"])) for s in static],

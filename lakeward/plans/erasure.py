@@ -151,11 +151,13 @@ def erase_subjects(spark: SparkSession, targets: list[Target], keys: DataFrame,
             hits.select(*cols).distinct().write.mode("overwrite").parquet(path)
             touched_keys[r.path] = spark.read.parquet(path)
         if t.partition_by:
-            touched = [tuple(r) for r in hits.select(*t.partition_by).distinct().collect()]
-            survivors = _survivors(df.where(writes._partition_predicate(list(t.partition_by), touched)), t, keys)
+            touched = writes._partitions_of(hits, list(t.partition_by))
+            survivors = _survivors(writes._in_partitions(df, list(t.partition_by), touched), t, keys)
             writes.replace_partitions(spark, survivors, t.path, list(t.partition_by), touched)
         else:
             writes.replace_table(spark, _survivors(df, t, keys), t.path)
+        if _hits(_read(spark, t), t, keys).take(1):         # the audit must not say erased while rows are left
+            raise writes.MoveError(f"{t.table} still holds rows of request {request_id}")
         for r in derived:
             src = spark.read.schema(t.schema).parquet(t.path) if t.schema else spark.read.parquet(t.path)
             tk = touched_keys[r.path]

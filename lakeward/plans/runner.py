@@ -114,7 +114,7 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
             source = source.withColumn("ingest_date", F.to_date("ingest_timestamp"))
         b_staged = f"{root}/_staging/bronze/{product.name}/{run_id}"
         writes.write_table(source, b_staged, b_part, bronze.format)
-        source = spark.read.format(bronze.format).load(b_staged)
+        source = spark.read.format(bronze.format).schema(source.schema).load(b_staged)
         if "ingest_date" in source.columns and "ingest_date" not in [f.name for f in product.fields]:
             source = source.drop("ingest_date")
 
@@ -129,7 +129,7 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
                 rej = rej.withColumn(c, pseudonym(c, salt))
         writes.append_quarantine(rej, q_root, product.name, step_name, run_id, as_of)
 
-    staged_df = spark.read.format(t.format).load(staged)
+    staged_df = spark.read.format(t.format).schema(out.schema).load(staged)
     rules = ([checks.Rule("row_count", "", F.count(F.lit(1)).cast("double"), None)]
              + checks.schema_rules(staged_df, product) + checks.quality_rules(product))
     ref_rules = [r for r in rules if r.rule == "in_reference_table"]
@@ -139,8 +139,7 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
                     and c.get("check") == "in_reference_table")
         ref = (refs or {}).get(spec.get("ref"))
         if ref is None:
-            rules.remove(r)
-            continue
+            raise ValueError(f"{product.name}: reference table {spec.get('ref')!r} of rule on {r.column} was not passed")
         frame = joins.flag_reference(frame, ref, r.column, flag=f"__ref_{r.column}")
     static = checks.schema_static(staged_df, product, check_types=True)
     static += checks.sql_rules(staged_df, list(product.quality.business_rules))
@@ -150,12 +149,15 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
     counts = {k: int(o.get.get("n", 0)) for k, o in obs.items()}
     rows_out = int(next(r["actual"] for r in report if r["rule"] == "row_count"))
     rows_rej = sum(v for k, v in counts.items() if k.endswith(":rejected"))
-    rows_in = spark.read.format(bronze.format).load(b_staged).count() if bronze.enabled else source.count()
+    rows_in = source.count()
     counts["output"] = rows_out
     status = "blocked" if blocking else "written"
     if not blocking:
-        if merge.get("keys") and writes.exists(spark, target):
-            writes.upsert(spark, target, staged_df, merge["keys"], part, fmt=t.format, cluster_by=t.z_order_by)
+        # rows of earlier runs stay: by the merge keys, else by the idempotency key of the dedup step
+        keys = merge.get("keys") or next((list(st.params["keys"]) for st in product.steps if st.type == "deduplicate"), [])
+        if keys and writes.exists(spark, target):
+            writes.upsert(spark, target, staged_df, keys, part, fmt=t.format, cluster_by=t.z_order_by)
+            writes.discard(spark, staged)
         else:
             writes.promote(spark, staged, target)
 

@@ -5,9 +5,11 @@ Overwriting a path while reading it destroys the table, and dynamic
 partition overwrite leaves partitions that lost all their rows untouched.
 So every in-place change here writes the new content of the touched
 partitions to a staging folder next to the table, then swaps partition
-folders with the Hadoop FileSystem API (delete + rename) and deletes the
-partitions that became empty.  The swap is per partition, not atomic across
-partitions; a failed job leaves the table as it was (staging is separate).
+folders with the Hadoop FileSystem API and removes the partitions that became
+empty.  Old folders are moved aside first and deleted when everything is in
+place; every move is checked, and staged data that found no place is an error.
+The swap is per partition, not atomic across partitions; a failed job leaves
+the table as it was (staging is separate).
 """
 
 from __future__ import annotations
@@ -17,12 +19,17 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class UpsertError(ValueError):
     pass
 
 
+class MoveError(OSError):
+    """A folder or file could not be moved or removed; the staged data is still there."""
+
+
 # -- file system helpers ---------------------------------------------------------------
 
 def _fs(spark: SparkSession, path: str):
@@ -36,14 +43,46 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _partition_dir(partition_by: list[str], values: tuple) -> str:
-    return "/".join(f"{c}={_fmt(v)}" for c, v in zip(partition_by, values))
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _move(fs, src, dst) -> None:
+    """Rename that fails loudly: some file systems only return false."""
+    if not fs.rename(src, dst):
+        raise MoveError(f"cannot move {src} to {dst}")
 
 
-def _fmt(v) -> str:
-    if v is None:
-        return "__HIVE_DEFAULT_PARTITION__"
-    if isinstance(v, (date, datetime)):
+def _remove(fs, path) -> None:
+    if fs.exists(path) and not fs.delete(path, True):
+        raise MoveError(f"cannot remove {path}")
+
+
+def _data_files(fs, root) -> list:
+    """Files below ``root`` that hold rows (metadata-sized: one entry per file)."""
+    out, it = [], fs.listFiles(root, True)
+    while it.hasNext():
+        path = it.next().getPath()
+        if not path.getName().startswith(("_", ".")):
+            out.append(path)
+    return out
+
+
+def _partition_dir(spark: SparkSession, partition_by: list[str], values: tuple) -> str:
+    """Folder of a partition, escaped as Spark's own writer does."""
+    path = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join(path.getPartitionPathString(c, _fmt(v)) for c, v in zip(partition_by, values))
+
+
+def _fmt(v) -> str | None:
+    """The text Spark casts a partition value to (None: the default partition)."""
+    if v is None or v == "":
+        return None
+    if isinstance(v, bool):
+        return str(v).lower()
+    if isinstance(v, datetime):
+        return v.strftime("%Y-%m-%d %H:%M:%S") + (f".{v.microsecond:06d}".rstrip("0") if v.microsecond else "")
+    if isinstance(v, date):
         return v.isoformat()
     return str(v)
 
@@ -71,27 +110,33 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | tuple = (),
     return path
 
 
-def _partitions_of(spark: SparkSession, df: DataFrame, partition_by: list[str]) -> list[tuple]:
+def _partitions_of(df: DataFrame, partition_by: list[str]) -> list[tuple]:
     """Distinct partition values of a frame: one row per partition folder,
-    i.e. metadata-sized, so collecting them is bounded by the table layout."""
-    return [tuple(r) for r in df.select(*partition_by).distinct().collect()]
+    i.e. metadata-sized, so collecting them is bounded by the table layout.
+    An empty text is stored as NULL."""
+    return sorted({tuple(None if v == "" else v for v in r) for r in df.select(*partition_by).distinct().collect()}, key=str)
 
 
 def swap_partitions(spark: SparkSession, staged: str, target: str, partition_by: list[str],
                     touched: list[tuple]) -> None:
     """Replace each touched partition folder of ``target`` by the staged one;
-    a touched partition with no staged folder is deleted (it became empty)."""
+    a touched partition with no staged folder is removed (it became empty).
+    Raises before anything old is deleted if staged rows are left over."""
     fs, _ = _fs(spark, target)
-    jvm = spark.sparkContext._jvm
+    aside = f"{target.rstrip('/')}/_replaced_{uuid.uuid4().hex[:8]}"
     for values in touched:
-        rel = _partition_dir(partition_by, values)
-        src = jvm.org.apache.hadoop.fs.Path(f"{staged}/{rel}")
-        dst = jvm.org.apache.hadoop.fs.Path(f"{target}/{rel}")
+        rel = _partition_dir(spark, partition_by, values)
+        src, dst, old = (_path(spark, f"{d}/{rel}") for d in (staged, target, aside))
         if fs.exists(dst):
-            fs.delete(dst, True)
+            fs.mkdirs(old.getParent())
+            _move(fs, dst, old)
         if fs.exists(src):
             fs.mkdirs(dst.getParent())
-            fs.rename(src, dst)
+            _move(fs, src, dst)
+    left = _data_files(fs, _path(spark, staged)) if fs.exists(_path(spark, staged)) else []
+    if left:
+        raise MoveError(f"{len(left)} staged files belong to no touched partition, e.g. {left[0]}; replaced folders are in {aside}")
+    _remove(fs, _path(spark, aside))
 
 
 def replace_table(spark: SparkSession, df: DataFrame, target: str, fmt: str = "parquet",
@@ -99,22 +144,20 @@ def replace_table(spark: SparkSession, df: DataFrame, target: str, fmt: str = "p
     """Unpartitioned in-place replace: stage, then swap the folder."""
     staged = f"{target.rstrip('/')}__staging_{uuid.uuid4().hex[:8]}"
     write_table(df, staged, (), fmt, "overwrite", cluster_by)
-    fs, t = _fs(spark, target)
-    jvm = spark.sparkContext._jvm
-    if fs.exists(t):
-        fs.delete(t, True)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staged), t)
+    promote(spark, staged, target)
 
 
 def promote(spark: SparkSession, staged: str, target: str) -> None:
-    """Make a fully staged table the target: delete the old folder, rename
-    the staged one into place (a metadata operation; no data is rewritten)."""
+    """Make a fully staged table the target: move the old folder aside, rename
+    the staged one into place (a metadata operation; no data is rewritten),
+    then delete the old one."""
     fs, t = _fs(spark, target)
-    jvm = spark.sparkContext._jvm
+    old = _path(spark, f"{target.rstrip('/')}__replaced_{uuid.uuid4().hex[:8]}")
     if fs.exists(t):
-        fs.delete(t, True)
+        _move(fs, t, old)
     fs.mkdirs(t.getParent())
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staged), t)
+    _move(fs, _path(spark, staged), t)
+    _remove(fs, old)
 
 
 def replace_partitions(spark: SparkSession, new_rows: DataFrame, target: str, partition_by: list[str],
@@ -123,25 +166,36 @@ def replace_partitions(spark: SparkSession, new_rows: DataFrame, target: str, pa
     staged = f"{target.rstrip('/')}/_staging_{uuid.uuid4().hex[:8]}"
     write_table(new_rows, staged, partition_by, fmt, "overwrite", cluster_by)
     swap_partitions(spark, staged, target, partition_by, touched)
-    fs, p = _fs(spark, staged)
-    fs.delete(p, True)
+    _remove(*_fs(spark, staged))
+
+
+def _in_partitions(df: DataFrame, partition_by: list[str], touched: list[tuple]) -> DataFrame:
+    """Rows of the touched partitions: a filter per column, which prunes the
+    listing however many partitions there are, then the exact combinations by
+    a join with the list of partitions."""
+    out = df
+    for i, c in enumerate(partition_by):
+        values = list({v[i] for v in touched if v[i] is not None})
+        keep = F.col(c).isin(values) if values else F.lit(False)
+        out = out.where(keep | F.col(c).isNull() if any(v[i] is None for v in touched) else keep)
+    if len(partition_by) == 1:
+        return out
+    names = [f"__p{i}" for i in range(len(partition_by))]
+    fields = [df.schema[c] for c in partition_by]
+    listed = df.sparkSession.createDataFrame(touched, ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, fields)))
+    same = F.lit(True)
+    for c, n in zip(partition_by, names):
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    return out.join(listed, same, "left_semi")
 
 
-def _partition_predicate(partition_by: list[str], touched: list[tuple]):
-    """Static partition filter for the touched partitions (pruned at listing)."""
-    if len(partition_by) == 1:
-        vals = [v[0] for v in touched if v[0] is not None]
-        pred = F.col(partition_by[0]).isin(*vals) if vals else F.lit(False)
-        if any(v[0] is None for v in touched):
-            pred = pred | F.col(partition_by[0]).isNull()
-        return pred
-    cond = F.lit(False)
-    for values in touched:
-        c = F.lit(True)
-        for col, v in zip(partition_by, values):
-            c = c & (F.col(col).isNull() if v is None else F.col(col) == F.lit(v))
-        cond = cond | c
-    return cond
+def _without_keys(df: DataFrame, gone: DataFrame, keys: list[str], how: str = "left_anti") -> DataFrame:
+    """Anti (or semi) join on keys in which NULL equals NULL."""
+    other = gone.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return df.join(other, same, how)
 
 
 def append_by_rename(spark: SparkSession, staged: str, target: str) -> int:
@@ -149,24 +203,25 @@ def append_by_rename(spark: SparkSession, staged: str, target: str) -> int:
     files into the matching partition folders.  File names are unique per
     write, so nothing is overwritten; returns the number of files moved."""
     fs, src_root = _fs(spark, staged)
-    jvm = spark.sparkContext._jvm
+    root = fs.makeQualified(src_root).toUri().getPath().rstrip("/")     # listings are qualified, arguments need not be
     moved = 0
-    it = fs.listFiles(src_root, True)
-    while it.hasNext():
-        st = it.next()
-        path = st.getPath()
-        rel = path.toString()[len(src_root.toString().rstrip("/")) + 1:]
-        name = path.getName()
-        if name.startswith("_") or name.startswith("."):
-            continue
-        dst = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{rel}")
+    for path in _data_files(fs, src_root):
+        rel = fs.makeQualified(path).toUri().getPath()
+        if not rel.startswith(root + "/"):
+            raise MoveError(f"{path} is not below {root}")
+        dst = _path(spark, f"{target.rstrip('/')}/{rel[len(root) + 1:]}")
         fs.mkdirs(dst.getParent())
-        fs.rename(path, dst)
+        _move(fs, path, dst)
         moved += 1
-    fs.delete(src_root, True)
+    _remove(fs, src_root)
     return moved
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that is no longer needed."""
+    _remove(*_fs(spark, path))
+
+
 # -- upsert -------------------------------------------------------------------------------
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> int:
@@ -174,33 +229,49 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> int:
     return df.groupBy(*keys).count().where(F.col("count") > 1).count()
 
 
+def _stored_schema(spark: SparkSession, target: str, updates: DataFrame, partition_by: list[str], fmt: str) -> T.StructType:
+    """Columns as stored; partition columns have the updates' type, since folder
+    names alone would turn the text 007 into a number."""
+    if not _data_files(*_fs(spark, target)):
+        return updates.schema
+    found = spark.read.format(fmt).load(target).schema
+    return T.StructType([updates.schema[f.name] if f.name in partition_by and f.name in updates.columns else f for f in found])
+
+
 def upsert(spark: SparkSession, target: str, updates: DataFrame, keys: list[str],
            partition_by: list[str] | tuple = (), schema: str | None = None, fmt: str = "parquet",
            cluster_by: list[str] | tuple = ()) -> None:
     """MERGE (update all, insert all) on Parquet.
 
-    Only the partitions the updates touch are read: their current rows minus
-    the updated keys (``left_anti``), united with the updates, are staged and
-    swapped in.  Updates with duplicate keys are refused.  Applying the same
-    batch twice gives the same table as applying it once."""
-    if duplicate_keys(updates, keys):
-        raise UpsertError(f"updates hold duplicate keys on {keys}")
+    The updates are staged once and worked on from there.  Only the
+    partitions they touch are rewritten: those of the updates and, unless the
+    partition columns are part of the keys, those that hold the keys now (a key
+    whose partition changes moves).  NULL equals NULL in keys.  Updates with
+    duplicate keys are refused.  Applying the same batch twice gives the same
+    table as applying it once."""
     partition_by = list(partition_by)
-    if not exists(spark, target):
-        write_table(updates, target, partition_by, fmt, "overwrite", cluster_by)
-        return
-    reader = spark.read.format(fmt)
-    if schema:
-        reader = reader.schema(schema)
-    current = reader.load(target)
-    if not partition_by:
-        merged = current.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
-        replace_table(spark, merged, target, fmt, cluster_by)
-        return
-    touched = _partitions_of(spark, updates, partition_by)
-    in_touched = current.where(_partition_predicate(partition_by, touched))
-    merged = in_touched.join(updates.select(*keys), keys, "left_anti").unionByName(updates.select(*current.columns))
-    replace_partitions(spark, merged, target, partition_by, touched, fmt, cluster_by)
+    held = f"{target.rstrip('/')}__updates_{uuid.uuid4().hex[:8]}"
+    updates.write.parquet(held)
+    updates = spark.read.schema(updates.schema).parquet(held)
+    try:
+        if duplicate_keys(updates, keys):
+            raise UpsertError(f"updates hold duplicate keys on {keys}")
+        if not exists(spark, target):
+            write_table(updates, target, partition_by, fmt, "overwrite", cluster_by)
+            return
+        current = spark.read.format(fmt).schema(schema or _stored_schema(spark, target, updates, partition_by, fmt)).load(target)
+        if not partition_by:
+            merged = _without_keys(current, updates, keys).unionByName(updates.select(*current.columns))
+            replace_table(spark, merged, target, fmt, cluster_by)
+            return
+        touched = _partitions_of(updates, partition_by)
+        if not set(partition_by) <= set(keys):
+            before = _partitions_of(_without_keys(current, updates, keys, "left_semi"), partition_by)
+            touched = sorted({*touched, *before}, key=str)
+        merged = _without_keys(_in_partitions(current, partition_by, touched), updates, keys).unionByName(updates.select(*current.columns))
+        replace_partitions(spark, merged, target, partition_by, touched, fmt, cluster_by)
+    finally:
+        _remove(*_fs(spark, held))
 
 
 def replace_keys(spark: SparkSession, target: str, fresh: DataFrame, touched_keys: DataFrame, keys: list[str],
@@ -216,10 +287,8 @@ def replace_keys(spark: SparkSession, target: str, fresh: DataFrame, touched_key
     if schema:
         reader = reader.schema(schema)
     current = reader.load(target)
-    touched = sorted(set(_partitions_of(spark, touched_keys, partition_by))
-                     | set(_partitions_of(spark, fresh, partition_by)), key=str)
-    in_touched = current.where(_partition_predicate(partition_by, touched))
-    kept = in_touched.join(touched_keys.select(*keys).distinct(), keys, "left_anti")
+    touched = sorted({*_partitions_of(touched_keys, partition_by), *_partitions_of(fresh, partition_by)}, key=str)
+    kept = _without_keys(_in_partitions(current, partition_by, touched), touched_keys, keys)
     replace_partitions(spark, kept.unionByName(fresh.select(*current.columns)), target, partition_by, touched, fmt)
 
 
