@@ -55,13 +55,6 @@ def matched_rows(df: DataFrame, ref: DataFrame, column: str, ref_column: str | N
     return df.join(reference_keys(ref, ref_column or column, column), on=column, how="left_semi")
 
 
-def erase_keys(df: DataFrame, keys: DataFrame, column: str, key_column: str | None = None) -> DataFrame:
-    """Drop rows whose key is in ``keys``.  ``left_anti`` keeps NULL keys,
-    unlike ``col != value``, which silently drops them."""
-    k = keys.select(F.col(key_column or column).alias(column)).where(F.col(column).isNotNull()).distinct()
-    return df.join(bounded_broadcast(k), on=column, how="left_anti")
-
-
 def reidentify(df: DataFrame, vault: DataFrame, column: str, raw_column: str, salt: str) -> DataFrame:
     """Pseudonym -> raw id through the vault (equi-join on the recomputed hash)."""
     v = vault.select(F.col(raw_column).alias("raw_" + column),
@@ -78,12 +71,14 @@ def interval_join(events: DataFrame, spans: DataFrame, key: str, ts: str, start:
     touches and the join is on (key, bucket) with the range as a residual
     filter: an event meets only the few spans overlapping its own bucket, and
     since an event lies in exactly one bucket no pair is produced twice."""
-    unit = bucket.split()[-1].rstrip("s")
-    b = F.date_trunc(unit, F.col(ts)).alias("__bucket")
-    s = spans.withColumn("__bucket", F.explode(F.sequence(F.date_trunc(unit, F.col(start)),
-                                                          F.date_trunc(unit, F.col(end)),
-                                                          F.expr(f"interval {bucket}"))))
-    e = events.withColumn("__bucket", b)
+    count, unit = bucket.split()
+    width = int(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+    def number(c):
+        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(1_000_000 * width)).cast("bigint")
+
+    s = spans.withColumn("__bucket", F.explode(F.sequence(number(F.col(start)), number(F.col(end)))))
+    e = events.withColumn("__bucket", number(F.col(ts)))
     return (e.join(s, on=[e[key] == s[key], e["__bucket"] == s["__bucket"],
                           e[ts] >= s[start], e[ts] <= s[end]], how="inner")
              .drop(s[key]).drop(s["__bucket"]).drop(e["__bucket"]))

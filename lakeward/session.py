@@ -9,7 +9,6 @@ folder for ``local[...]`` masters (tests, bench).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,18 +69,7 @@ def workspace(spark: SparkSession, *parts: str) -> str:
     return f"{root}/lakeward/{leaf}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never localCheckpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
