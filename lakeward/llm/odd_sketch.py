@@ -8,8 +8,9 @@ similarity; at high similarity few bits differ and the estimate is sharp.
 
 1. Documents of one shingle set are one class (its smallest doc_id stands for it).
 2. Classes that share a band of samples form a bucket; buckets of equal members are one bucket.
-3. Every member is held against the bucket's smallest (a star, linear in the
-   bucket): sketch first, then the two whole texts' shingle sets.
+3. Every member is held against two of the bucket's (stars, linear in the bucket), its smallest and the
+   one that shares most buckets with others, which in a group of edited copies is the copy next to all:
+   sketch first, then the two whole texts' shingle sets.
 4. Buckets that are still in several components are compared in full, in
    blocks of members, within tasks: only members of different components, and
    only until they are linked.  Nothing is capped, no link is left out.
@@ -40,7 +41,7 @@ ROWS = 4                     # samples a band
 BANDS = 32
 SKETCH_BITS = 512
 SIFT = 0.54                  # least estimated similarity that goes to the exact comparison, for 0.8
-BLOCK = 512                  # members of a bucket compared with another such block in one task
+BLOCK = 1024                 # members of a bucket compared with another such block in one task
 
 _SEEDS = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * _A) | np.uint64(1)
 
@@ -213,7 +214,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     members = stored(cells.join(buckets, ["band", "key"]).select("bucket", "n", "hub", "doc_id"), "odd-members")
 
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("bigint"), "text")
-    stars = members.filter("doc_id != hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    degree = members.groupBy("doc_id").agg(F.sum("n").alias("degree"))
+    middle = members.join(degree, "doc_id").groupBy("bucket").agg(F.max(F.struct("degree", F.negative("doc_id").alias("minus"))).alias("m"))
+    centre = members.join(middle.select("bucket", F.negative("m.minus").alias("centre")), "bucket")
+    stars = (centre.select(F.explode(F.array(F.struct(F.col("hub").alias("h"), F.col("doc_id").alias("d")),
+                                             F.struct(F.col("centre").alias("h"), F.col("doc_id").alias("d")))).alias("p"))
+             .filter("p.h != p.d").select(F.least("p.h", "p.d").alias("a"), F.greatest("p.h", "p.d").alias("b")).distinct())
     sk = reps.select("doc_id", "sketch")
     near = (stars.join(sk.select(F.col("doc_id").alias("a"), F.col("sketch").alias("x")), "a")
             .join(sk.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y")), "b")
@@ -248,8 +254,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     out = sig.join(classes, same, "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     if comp is not None:
-        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-        out = out.join(comp.join(degree, "node", "left"), out["rep"] == comp["node"], "left").drop("node")
+        per_node = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+        out = out.join(comp.join(per_node, "node", "left"), out["rep"] == comp["node"], "left").drop("node")
     else:
         out = out.withColumns({"component": F.lit(None).cast("bigint"), "n_links": F.lit(0).cast("bigint")})
     return out.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")) \
