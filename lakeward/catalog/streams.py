@@ -79,21 +79,34 @@ def stream_serving(spark, sf):
                    dbl_cols=["total_engagement_min"])
 
 
-@query("stream_hourly")
+WINDOWS_SQL = """
+select partner_id, epoch_us(ws) as window_start, epoch_us(ws + interval 1 hour) as window_end, count(*) as deliveries
+from (select partner_id, time_bucket(interval '{slide}', event_timestamp) - k * interval '{slide}' as ws, event_timestamp
+      from raw, range(0, {steps}) r(k) where event_timestamp >= ingest_timestamp - interval '7' day) x
+where event_timestamp >= ws and event_timestamp < ws + interval 1 hour
+  and ws + interval 1 hour <= (select date_trunc('milliseconds', max(event_timestamp)) - interval 7 day from raw
+                               where event_timestamp >= ingest_timestamp - interval '7' day)
+group by 1, 2, 3
+"""
+
+
+@query("stream_hourly", oracle(WINDOWS_SQL.format(slide="1 hour", steps=1)))
 def stream_hourly(spark, sf):
     """Tumbling 1-hour windows per partner, append mode (final windows only)."""
     root = _landing(spark, sf, "stream_hourly")
     path = jobs.windowed_counts(spark, f"{root}/landing", root, f"{root}/_ckpt/hourly", fixture.SALT)
-    return present(spark.read.parquet(path), ts_cols=["window_start", "window_end"])
+    return present(spark.read.parquet(path).select("partner_id", "window_start", "window_end", "deliveries"),
+                   ts_cols=["window_start", "window_end"])
 
 
-@query("stream_sliding")
+@query("stream_sliding", oracle(WINDOWS_SQL.format(slide="15 minutes", steps=4)))
 def stream_sliding(spark, sf):
     """Sliding 1-hour windows every 15 minutes, append mode."""
     root = _landing(spark, sf, "stream_sliding")
     path = jobs.windowed_counts(spark, f"{root}/landing", root, f"{root}/_ckpt/sliding", fixture.SALT,
                                 slide="15 minutes")
-    return present(spark.read.parquet(path), ts_cols=["window_start", "window_end"])
+    return present(spark.read.parquet(path).select("partner_id", "window_start", "window_end", "deliveries"),
+                   ts_cols=["window_start", "window_end"])
 
 
 @query("sliding_batch", oracle("""
@@ -114,7 +127,17 @@ def sliding_batch(spark, sf):
                    ts_cols=["window_start", "window_end"])
 
 
-@query("stream_sessions")
+@query("stream_sessions", oracle("""
+select * from (
+  select user_id, epoch_us(min(event_timestamp)) as session_start,
+         epoch_us(max(event_timestamp) + interval 30 minute) as session_end, count(*) as events
+  from (select *, sum(case when gap_us > 1800000000 then 1 else 0 end) over (partition by user_id order by event_timestamp) as ws
+        from (select *, epoch_us(event_timestamp) - epoch_us(lag(event_timestamp) over (partition by user_id order by event_timestamp)) as gap_us
+              from silver where user_id is not null) a) b
+  group by user_id, ws) s
+where session_end <= (select epoch_us(date_trunc('milliseconds', max(event_timestamp)) - interval 7 day) from raw
+                      where event_timestamp >= ingest_timestamp - interval '7' day)
+"""))
 def stream_sessions(spark, sf):
     """Streaming session windows per user (open sessions not emitted)."""
     root = _landing(spark, sf, "stream_sessions")
@@ -130,10 +153,13 @@ def stream_stage(spark, sf):
     return spark.read.schema(stateful.OUT_SCHEMA).parquet(path)
 
 
-@query("stream_volume")
+@query("stream_volume", oracle("""
+select count(*) as rows, count(*) filter (where lag <= 120) as within_sla, max(lag) as max_lag_s
+from (select cast(floor(epoch(ingest_timestamp)) as bigint) - cast(floor(epoch(event_timestamp)) as bigint) as lag from raw) x
+"""))
 def stream_volume(spark, sf):
-    """Volume and freshness of the stream from ``observe`` metrics of the
-    same pass (no second job over the data); one row."""
+    """Volume and freshness of the stream, totalled over the stored
+    metrics row of each micro-batch; one row."""
     root = _landing(spark, sf, "stream_volume")
     m = jobs.observed_metrics(spark, f"{root}/landing", f"{root}/_ckpt/volume")
     return spark.createDataFrame([(m["rows"], m["within_sla"], m["max_lag_s"])],

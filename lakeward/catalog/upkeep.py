@@ -276,7 +276,13 @@ def erase_bronze(spark, sf):
     return spark.read.schema(BRONZE_DDL).parquet(bpath).select("event_id", "copy", "user_id")
 
 
-@query("erasure_audit")
+@query("erasure_audit", oracle(f"""
+select {ERASE_SUBJECT} as subject, t.table_name, t.rows_erased, e.executed
+from (select 'silver.engagement_events' as table_name, (select count(*) from silver where user_id = {ERASE_SUBJECT}) as rows_erased
+      union all
+      select 'gold.user_journey', (select count(*) from journey where pseudonymized_user_id = {ERASE_SUBJECT})) t,
+     (values (false), (true)) e(executed)
+"""))
 def erasure_audit(spark, sf):
     """K7/V5: audit rows of a dry run then a real run (pseudonyms only)."""
     root, targets, keys = _erasure_setup(spark, sf, "erase_audit")

@@ -144,10 +144,12 @@ def exact_rollup(spark: SparkSession, landing: str, root: str, checkpoint: str,
 
 
 def windowed_counts(spark: SparkSession, landing: str, root: str, checkpoint: str, salt: str,
-                    size: str = "1 hour", slide: str | None = None, watermark: str = "10 minutes") -> str:
+                    size: str = "1 hour", slide: str | None = None, watermark: str = "7 days",
+                    max_files: int | None = None) -> str:
     """Tumbling (or sliding) event-time counts per partner, append mode:
-    a window is emitted once the watermark passes its end."""
-    src = read_landing(spark, landing)
+    a window is emitted once the watermark passes its end.  The watermark is
+    the lateness bound, so files read in order of arrival lose no on-time row."""
+    src = read_landing(spark, landing, max_files)
     ok = src.where(~malformed(src) & ~late(src))
     w = F.window("event_timestamp", size, slide) if slide else F.window("event_timestamp", size)
     agg = (ok.withWatermark("event_timestamp", watermark)
@@ -162,10 +164,11 @@ def windowed_counts(spark: SparkSession, landing: str, root: str, checkpoint: st
 
 
 def session_windows(spark: SparkSession, landing: str, root: str, checkpoint: str, salt: str,
-                    gap: str = "30 minutes", watermark: str = "1 hour") -> str:
-    """Per-user session windows; sessions still open behind the watermark
-    when the input ends are not emitted (append mode)."""
-    d = on_time_deduplicated(spark, landing, salt, watermark=watermark).where(F.col("user_id").isNotNull())
+                    gap: str = "30 minutes", watermark: str = "7 days", max_files: int | None = None) -> str:
+    """Per-user session windows; sessions that end after the watermark
+    when the input ends are not emitted (append mode).  The watermark is the
+    lateness bound, as for the window counts."""
+    d = on_time_deduplicated(spark, landing, salt, max_files=max_files, watermark=watermark).where(F.col("user_id").isNotNull())
     agg = (d.groupBy("user_id", F.session_window("event_timestamp", gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("events"))
             .select("user_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "events"))
@@ -175,27 +178,27 @@ def session_windows(spark: SparkSession, landing: str, root: str, checkpoint: st
     return path
 
 
-def observed_metrics(spark: SparkSession, landing: str, checkpoint: str, sla_seconds: int = 120) -> dict:
-    """Volume and freshness of each micro-batch through ``observe``
-    (computed by the same pass that feeds the sink, read from progress)."""
-    src = read_landing(spark, landing)
+def observed_metrics(spark: SparkSession, landing: str, checkpoint: str, sla_seconds: int = 120,
+                     max_files: int | None = None) -> dict:
+    """Volume and freshness of the stream: one row of metrics per
+    micro-batch, stored beside the checkpoint (a replayed batch rewrites its
+    own row), totalled over every batch of every load."""
+    src = read_landing(spark, landing, max_files)
     lag = F.unix_timestamp("ingest_timestamp") - F.unix_timestamp("event_timestamp")
-    obs = src.observe("volume", F.count(F.lit(1)).alias("rows"),
-                      F.sum(F.when(lag <= sla_seconds, 1).otherwise(0)).alias("within_sla"),
-                      F.max(lag).alias("max_lag_s"))
-    q = (obs.writeStream.format("noop").option("checkpointLocation", checkpoint)
+    path = f"{checkpoint.rstrip('/')}_metrics"
+    write = _batch_partition_writer(path)
+
+    def each(batch: DataFrame, batch_id: int):
+        write(batch.agg(F.count(F.lit(1)).alias("rows"), F.count_if(lag <= sla_seconds).alias("within_sla"),
+                        F.max(lag).alias("max_lag_s")), batch_id)
+
+    _run(src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    _run(q)
-    total = {"rows": 0, "within_sla": 0, "max_lag_s": 0}
-    for p in q.recentProgress:
-        m = (p.observedMetrics or {}).get("volume") if hasattr(p, "observedMetrics") else None
-        if m is None and isinstance(p, dict):
-            m = p.get("observedMetrics", {}).get("volume")
-        if m:
-            total["rows"] += int(m["rows"] or 0)
-            total["within_sla"] += int(m["within_sla"] or 0)
-            total["max_lag_s"] = max(total["max_lag_s"], int(m["max_lag_s"] or 0))
-    return total
+    if not writes.exists(spark, path):
+        return {"rows": 0, "within_sla": 0, "max_lag_s": 0}
+    batches = spark.read.schema("rows bigint, within_sla bigint, max_lag_s bigint, batch_id bigint").parquet(path)
+    return batches.agg(*(F.coalesce(f(c), F.lit(0)).alias(c) for f, c in (
+        (F.sum, "rows"), (F.sum, "within_sla"), (F.max, "max_lag_s")))).first().asDict()
 
 
 def rollup_from_silver_stream(spark: SparkSession, silver_path: str, root: str, checkpoint: str,
