@@ -83,3 +83,40 @@ def test_stateful_module_is_pickled_by_value():
 
     import lakeward.streaming.stateful as st
     assert st.__name__ in cloudpickle.list_registry_pickle_by_value()
+
+
+def _two_loads(spark, tmp_dir, job):
+    """An event of day 4 that arrives on time in the second load, behind events of day 10; ``job`` runs after each load."""
+    from datetime import datetime, timedelta
+
+    schema = raw(spark, SF001).schema
+    start = datetime(2024, 1, 1)
+
+    def rows(*events):
+        base = {"user_id": "u", "partner_id": "p", "event_type": "view", "session_id": "s", "is_first_session": "false", "copy": 0}
+        made = [{**base, "event_id": k, "event_timestamp": start + timedelta(days=at), "ingest_timestamp": start + timedelta(days=seen)}
+                for k, at, seen in events]
+        return spark.createDataFrame([tuple(m.get(f.name) for f in schema) for m in made], schema)
+
+    land = f"{tmp_dir}/landing"
+    landing.write_landing(rows(("a", 10, 10), ("b", 10.001, 10.001)), land)
+    job(land)
+    landing.write_landing(rows(("c", 4, 10.5), ("d", 30, 30)), land)
+    return job(land)
+
+
+def test_windows_lose_no_on_time_row_of_a_later_load(spark, tmp_dir):
+    path = _two_loads(spark, tmp_dir, lambda land: jobs.windowed_counts(spark, land, tmp_dir, f"{tmp_dir}/ckpt", fixture.SALT))
+    got = sorted((r["window_start"].day, r["deliveries"]) for r in spark.read.parquet(path).collect())
+    assert got == [(5, 1), (11, 2)]               # day 31 is still open
+
+
+def test_sessions_lose_no_on_time_row_of_a_later_load(spark, tmp_dir):
+    path = _two_loads(spark, tmp_dir, lambda land: jobs.session_windows(spark, land, tmp_dir, f"{tmp_dir}/ckpt", fixture.SALT))
+    got = sorted((r["session_start"].day, r["events"]) for r in spark.read.parquet(path).collect())
+    assert got == [(5, 1), (11, 2)]
+
+
+def test_metrics_are_totalled_over_every_batch_and_load(spark, tmp_dir):
+    m = _two_loads(spark, tmp_dir, lambda land: jobs.observed_metrics(spark, land, f"{tmp_dir}/ckpt", max_files=1))
+    assert m == {"rows": 4, "within_sla": 3, "max_lag_s": int(6.5 * 86400)}
