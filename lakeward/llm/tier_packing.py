@@ -37,7 +37,7 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 BUFFER_TOKENS = 1 << 20      # ids held before windows are formed
 STEP_TOKENS = 1 << 16        # tokens of a step group
-KNOWN_WORDS = 1 << 20        # words remembered by a task
+KNOWN_WORDS = 1 << 20        # words remembered by a Python worker
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
                   ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int32()), ("step_group", pa.int64())])
@@ -61,12 +61,12 @@ class WordTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[int, int] = {}
+        self.known = np.zeros(0, dtype=np.uint64)        # hashes of the words learnt, sorted, and the entry of each
+        self.entry = np.zeros(0, dtype=np.int64)
         self.part: dict[str, list[int]] = {}
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
-        self.at = np.zeros(1 << 14, dtype=np.int64)
-        self.size = np.zeros(1 << 14, dtype=np.int64)
+        self.flat = np.zeros(0, dtype=np.uint32)         # ids of all entries; each one's first place and count
+        self.at = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int64)
 
     def _ids(self, word: str) -> list[int]:
         if not _PLAIN.fullmatch(word) or "<|" in word:
@@ -80,31 +80,30 @@ class WordTokenizer:
             out += got
         return out
 
-    def _learn(self, hashed: int, word: bytes) -> int:
-        ids = self._ids(word.decode("utf-8"))
-        n = len(self.place)
-        if n == len(self.at):
-            self.at, self.size = np.concatenate([self.at, self.at]), np.concatenate([self.size, self.size])
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, self.flat])
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.at[n], self.size[n] = self.used, len(ids)
-        self.used += len(ids)
-        self.place[hashed] = n
-        return n
+    def _learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
+        ids = [self._ids(t.decode("utf-8")) for t in texts]
+        size = np.array([len(x) for x in ids], dtype=np.int64)
+        self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
+        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, size.sum())])
+        where = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, where, hashes)
+        self.entry = np.insert(self.entry, where, len(self.size) + np.arange(len(size)))
+        self.size = np.concatenate([self.size, size])
 
     def encode(self, data: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents, each followed by ``end_id``, and where each document begins."""
-        if len(self.place) > KNOWN_WORDS:
+        if len(self.known) > KNOWN_WORDS:
             self.forget()
         starts, ends, first = words(data, off)
         uniq, one, back = np.unique(hash_words(data, starts, ends), return_index=True, return_inverse=True)
-        raw, place = data.tobytes(), np.empty(len(uniq), dtype=np.int64)
-        get = self.place.get
-        for i, (h, a, b) in enumerate(zip(uniq.tolist(), starts[one].tolist(), ends[one].tolist())):
-            n = get(h)
-            place[i] = self._learn(h, raw[a:b]) if n is None else n
-        word = place[back]
+        where = np.searchsorted(self.known, uniq)
+        new = np.ones(len(uniq), dtype=bool)
+        inside = where < len(self.known)
+        new[inside] = self.known[where[inside]] != uniq[inside]
+        if new.any():
+            raw = data.tobytes()
+            self._learn(uniq[new], [raw[a:b] for a, b in zip(starts[one[new]].tolist(), ends[one[new]].tolist())])
+        word = self.entry[np.searchsorted(self.known, uniq)][back]
         size = self.size[word]
         before = np.zeros(len(word) + 1, dtype=np.int64)
         np.cumsum(size, out=before[1:])
@@ -118,6 +117,18 @@ class WordTokenizer:
         return out, bound
 
 
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this Python worker, which keeps the words learnt from one task to the next.  What a word's ids
+    are does not depend on the task, so a rerun elsewhere gives the same."""
+    import sys
+    from types import ModuleType
+
+    kept = sys.modules.setdefault("_lakeward_worker", ModuleType("_lakeward_worker")).__dict__
+    if path not in kept:
+        kept[path] = WordTokenizer(path)
+    return kept[path]
+
+
 def pack(sizes: list[int], tiers: tuple[int, ...], last: bool) -> tuple[list[tuple[int, list[tuple[int, int, int]]]], list[tuple[int, int, int]]]:
     """Windows (tier, [(item, start, length), ...]) for items of the given sizes, and the pieces left over unless ``last``."""
     top, windows = tiers[-1], []
@@ -181,7 +192,7 @@ def _task(path: str, tiers: tuple[int, ...], end_id: int, buffer: int, step: int
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 36
-        tok = WordTokenizer(path)
+        tok = worker_tokenizer(path)
         held: list[tuple] = []           # (doc_id, doc_tokens, start of the held ids, ids)
         total, serial, spent = 0, 0, 0
 
