@@ -11,7 +11,7 @@ from lakeward.catalog.common import VOCAB, oracle, present, query, raw
 from lakeward.catalog.core import GOLD_SQL
 from lakeward.session import workspace
 from lakeward.sources import fixture
-from lakeward.streaming import jobs, stateful
+from lakeward.streaming import jobs
 
 
 def _landing(spark, sf, name):
@@ -145,12 +145,37 @@ def stream_sessions(spark, sf):
     return present(spark.read.parquet(path), ts_cols=["session_start", "session_end"])
 
 
-@query("stream_stage")
+@query("stream_stage", oracle("").rstrip() + """,
+ok as (
+  select distinct event_id, event_timestamp, cast(event_timestamp as date) as journey_date, event_type, duration_seconds,
+         sha256('salt' || user_id) as user_id
+  from raw where user_id is not null and event_timestamp >= ingest_timestamp - interval '7' day
+),
+gaps as (
+  select *, cast(floor(epoch(event_timestamp)) as bigint)
+            - cast(floor(epoch(lag(event_timestamp) over (partition by user_id, journey_date order by event_timestamp))) as bigint) as gap
+  from ok
+),
+days as (
+  select user_id, journey_date, cast(1 + sum(case when gap > 1800 then 1 else 0 end) as int) as session_count,
+         coalesce(sum(case when event_type = 'purchase' then duration_seconds end), 0) / 60.0 as minutes
+  from gaps group by 1, 2
+)
+select user_id, journey_date, session_count, round(minutes, 6) as total_engagement_min,
+       case when session_count >= 5 then 'habitual' when session_count >= 3 then 'engaged'
+            when minutes < 2 then 'lapsing' else 'exploring' end as derived_stage
+from days
+""")
 def stream_stage(spark, sf):
-    """Running stage per user-day from a stateful operator."""
-    root = _landing(spark, sf, "stream_stage")
-    path = stateful.running_stage(spark, f"{root}/landing", root, f"{root}/_ckpt/stage", fixture.SALT, VOCAB)
-    return spark.read.schema(stateful.OUT_SCHEMA).parquet(path)
+    """The latest stage per user-day after three loads in order of arrival."""
+    root = workspace(spark, "stream_stage")
+    rows = raw(spark, sf)
+    seen = F.col("ingest_timestamp")
+    first, second = (F.lit(d).cast("timestamp") for d in ("2024-01-11", "2024-01-21"))
+    for load in (seen < first, (seen >= first) & (seen < second), seen >= second):
+        jobs.write_landing(rows.where(load), f"{root}/landing")
+        path = jobs.running_stage(spark, f"{root}/landing", root, f"{root}/_ckpt/stage", fixture.SALT, VOCAB)
+    return present(spark.read.schema(jobs.STAGE_DDL).parquet(path), dbl_cols=["total_engagement_min"])
 
 
 @query("stream_volume", oracle("""

@@ -320,6 +320,22 @@ def parity_report(spark, sf):
                                 ["dau", "total_sessions"])
 
 
+@query("row_delta", oracle("").rstrip() + """,
+n as (select (select count(*) from (select event_id, event_timestamp, ingest_timestamp,
+                                           row_number() over (partition by event_id order by ingest_timestamp asc) as rn2 from raw) x
+              where rn2 = 1 and event_timestamp >= ingest_timestamp - interval '7' day) as legacy_rows,
+             (select count(*) from silver) as new_rows)
+select legacy_rows, new_rows, round(abs(new_rows - legacy_rows) * 100.0 / legacy_rows, 6) as delta_pct,
+       abs(new_rows - legacy_rows) * 100.0 / legacy_rows < 0.1 as within_target
+from n
+""")
+def row_delta(spark, sf):
+    """Row counts of the legacy and the new silver against the 0.1 % target."""
+    d = parity.row_delta(_legacy_silver(spark, sf), silver(spark, sf))
+    return present(d.select(F.col("legacy").alias("legacy_rows"), F.col("new").alias("new_rows"), "delta_pct",
+                            (F.col("delta_pct") < 0.1).alias("within_target")), dbl_cols=["delta_pct"])
+
+
 @query("reidentify", oracle("""
 select s.event_id, cast(c.c_custkey as varchar) as raw_user_id
 from silver s join customer c on s.user_id = sha256('salt' || cast(c.c_custkey as varchar))

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from lakeward.functions.expressions import REFERENCE_VOCAB, Vocabulary, is_true, pseudonym
 from lakeward.operators import rollups
+from lakeward.operators.journey import derive_stage
+from lakeward.operators.sessions import sessionize
 from lakeward.sinks import writes
 from lakeward.sources.landing import LANDING_DDL, parse, write_landing  # noqa: F401
 from lakeward.sources.landing import malformed as landing_malformed
@@ -31,6 +33,9 @@ SILVER_DDL = ("event_id string, event_timestamp timestamp, ingest_timestamp time
               "is_first_session string, event_date date")
 GOLD_DDL = ("partner_id string, dau bigint, total_sessions bigint, total_engagement_min double, "
             "exercise_completions bigint, new_signups bigint, top_event_types array<string>, metric_date date")
+STAGE_DDL = "user_id string, session_count int, total_engagement_min double, derived_stage string, journey_date date"
+
+
 def read_landing(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Streaming JSON read with the contract schema (no inference)."""
     r = (spark.readStream.schema(LANDING_DDL).option("mode", "PERMISSIVE")
@@ -143,6 +148,41 @@ def exact_rollup(spark: SparkSession, landing: str, root: str, checkpoint: str,
     return {"silver": silver_path, "gold": gold_path, "serving": serving_path}
 
 
+def running_stage(spark: SparkSession, landing: str, root: str, checkpoint: str, salt: str,
+                  vocab: Vocabulary = REFERENCE_VOCAB, max_files: int | None = None) -> str:
+    """The latest stage of every user-day.  Silver is upserted per batch on
+    event_id and the user-days the batch touched are recomputed from it, so
+    an on-time event of an earlier day corrects that day.  A session that runs
+    on past midnight counts on both days, which makes a user-day a function of
+    its own events: only the touched event_date partitions are read."""
+    silver_path, path = f"{root}/silver", f"{root}/stage"
+    src = on_time_deduplicated(spark, landing, salt, max_files=max_files).where(F.col("user_id").isNotNull())
+    seconds = F.coalesce(F.sum(F.when(vocab.is_end(), vocab.duration())), F.lit(0.0))
+
+    def each(batch: DataFrame, batch_id: int):
+        rows = batch.withColumn("event_date", F.to_date("event_timestamp")).select(
+            *[c.split()[0] for c in SILVER_DDL.split(", ")]).persist()
+        try:
+            touched = rows.select("user_id", F.col("event_date").alias("journey_date")).distinct()
+            days = [r[0] for r in touched.select("journey_date").distinct().collect()]   # touched partitions
+            if not days:
+                return
+            writes.upsert(spark, silver_path, rows, ["event_id"], ["event_date"], schema=SILVER_DDL)
+            stored = spark.read.schema(SILVER_DDL).parquet(silver_path).where(F.col("event_date").isin(*days))
+            own = stored.join(touched.withColumnRenamed("journey_date", "event_date"), ["user_id", "event_date"], "left_semi")
+            per_day = (sessionize(own).groupBy("user_id", F.col("event_date").alias("journey_date"))
+                       .agg(F.count_distinct("derived_session_id").cast("int").alias("session_count"),
+                            (seconds / 60.0).alias("total_engagement_min")))
+            fresh = derive_stage(per_day).select(*[c.split()[0] for c in STAGE_DDL.split(", ")])
+            writes.upsert(spark, path, fresh, ["user_id", "journey_date"], ["journey_date"], schema=STAGE_DDL)
+        finally:
+            rows.unpersist()
+
+    _run(src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    return path
+
+
 def windowed_counts(spark: SparkSession, landing: str, root: str, checkpoint: str, salt: str,
                     size: str = "1 hour", slide: str | None = None, watermark: str = "7 days",
                     max_files: int | None = None) -> str:

@@ -77,14 +77,6 @@ def test_malformed_lines_are_quarantined(spark, tmp_dir):
     assert spark.read.parquet(out["quarantine"]).count() == 2
 
 
-def test_stateful_module_is_pickled_by_value():
-    """Workers run the state function without this package on their path."""
-    from pyspark import cloudpickle
-
-    import lakeward.streaming.stateful as st
-    assert st.__name__ in cloudpickle.list_registry_pickle_by_value()
-
-
 def _two_loads(spark, tmp_dir, job):
     """An event of day 4 that arrives on time in the second load, behind events of day 10; ``job`` runs after each load."""
     from datetime import datetime, timedelta
@@ -120,3 +112,18 @@ def test_sessions_lose_no_on_time_row_of_a_later_load(spark, tmp_dir):
 def test_metrics_are_totalled_over_every_batch_and_load(spark, tmp_dir):
     m = _two_loads(spark, tmp_dir, lambda land: jobs.observed_metrics(spark, land, f"{tmp_dir}/ckpt", max_files=1))
     assert m == {"rows": 4, "within_sla": 3, "max_lag_s": int(6.5 * 86400)}
+
+
+def test_stage_of_an_earlier_day_is_corrected_by_a_later_load(spark, tmp_dir):
+    """Day 10 keeps its row and day 4, which arrives behind it, gets its own; a replayed load changes nothing."""
+    def job(land):
+        return jobs.running_stage(spark, land, tmp_dir, f"{tmp_dir}/ckpt", fixture.SALT, fixture.FIXTURE_VOCAB)
+
+    path = _two_loads(spark, tmp_dir, job)
+    cols = ["journey_date", "session_count", "derived_stage"]
+    want = [(5, 1, "lapsing"), (11, 1, "lapsing"), (31, 1, "lapsing")]
+    table = spark.read.schema(jobs.STAGE_DDL).parquet(path)
+    assert [(d.day, n, s) for d, n, s in _rows(table, cols)] == want
+    job(f"{tmp_dir}/landing")
+    jobs.running_stage(spark, f"{tmp_dir}/landing", tmp_dir, f"{tmp_dir}/other", fixture.SALT, fixture.FIXTURE_VOCAB)
+    assert [(d.day, n, s) for d, n, s in _rows(spark.read.schema(jobs.STAGE_DDL).parquet(path), cols)] == want
