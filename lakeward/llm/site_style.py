@@ -1,15 +1,16 @@
 """Main text of web pages by a site style tree.
 
 Pages of one host are merged into one tree of style nodes: elements with the same chain of tag, class and role.
-Over the pages of a host each node gets an importance from 0 to 1: for content, one minus the mean
-entropy of its blocks (a block that stands on every page has entropy 1, one that stands on a
-single page 0); for presentation, the entropy of the sequences of child styles its pages show. The composite importance of
-a branch is the mean over the blocks below it, weighted by their number, raised by its presentation.
-Branches whose importance is a small share of the best one's on their host are removed from each page, and so
-are branches whose tag, class, id or role names a menu, header, footer, sidebar, notice, advert, form, script,
-style or reader comments, which also serves hosts with too few pages to tell.
-
-Page counts are aggregated by (host, style, block) with partial aggregation, so a host with a third of all
+What a page's own markup already rules out (below) is left out first, and of pages with article or main only what stands in
+them counts.  Each distinct body of a host counts once, so copies of an article do not make it look like a template.
+Each style with text of its own gets an importance from 0 to 1: for content, one minus the mean entropy of its distinct
+blocks (a block that stands on every page has entropy 1, one that stands on a single page 0), raised by its presentation,
+the entropy of the sequences of child styles its pages show.  Styles whose importance is a small share of the best one's on
+their host are removed from each page.  So a branch goes only where all styles with text below it are low, never above one that stays.
+Branches whose tag, class, id or role names a menu, header, footer, sidebar, notice, advert, form, script,
+style or reader comments go as well, which also serves hosts with too few pages to tell.
+
+Pages are parsed once.  Counts are aggregated by (host, style, block) with partial aggregation, so a host with a third of all
 pages is no single task; the table of removed styles is broadcast if measured small, else joined by host.
 
 Defined cases: null or empty html gives an empty text; null or odd urls share the empty host; broken markup is
@@ -31,7 +32,7 @@ from lakeward.llm.url_cascade import host_and_path
 
 MIN_PAGES = 8                # fewer pages of a style say nothing
 LOW_SHARE = 0.2              # of the best importance on the host
-PRESENTATION = 0.2           # weight of presentation in a branch's composite importance
+PRESENTATION = 0.2           # weight of presentation in a style's composite importance
 BROADCAST_BYTES = 4 << 20
 
 SKIP_TAGS = frozenset("nav header footer aside form script style noscript template iframe svg math button select textarea input "
@@ -75,7 +76,7 @@ def _style(tag: str, attrs: str) -> tuple[str, bool]:
 
 def blocks_of(html: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[str, tuple[str, ...]]]]:
     """Blocks of a page in order: (style path, text, inside article or main, ruled out by its own
-    markup); and (path, child styles) of its branches.  Ruled-out inline elements have no text."""
+    markup); and (path, child styles) of its branches, without ruled-out ones.  Ruled-out inline elements have no text."""
     blocks: list[tuple[str, str, bool, bool]] = []
     stack: list[tuple[str, str, bool, bool, bool]] = []     # tag, style path, ruled out, inside main, without text
     children: dict[str, list[str]] = {}
@@ -131,7 +132,7 @@ def blocks_of(html: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[
                     break
         style, skip = _style(tag, m[3])
         above = stack[-1] if stack else ("", "", False, False, False)
-        if not above[4]:
+        if not above[2] and not skip:
             children.setdefault(above[1], []).append(style)
         if tag in VOID_TAGS or m[3].rstrip().endswith("/") and tag in ("svg", "path"):
             if tag == "br":
@@ -149,87 +150,93 @@ def blocks_of(html: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[
     return blocks, [(path, tuple(styles)) for path, styles in children.items()]
 
 
-_FEATURE = pa.schema([("host", pa.string()), ("path", pa.string()), ("kind", pa.string()), ("value", pa.int64())])
+def body_of(blocks: list[tuple[str, str, bool, bool]]) -> list[tuple[str, str]]:
+    """Style path and text of the blocks that can be main text: those of article or main if the page has any, else of the page."""
+    blocks = [b for b in blocks if not b[3]]
+    inside = any(main for _, _, main, _ in blocks)
+    return [(path, text) for path, text, main, _ in blocks if main or not inside]
 
 
-def _features(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def text_of(html: str, low: frozenset[str]) -> str:
+    """Main text of a page: its body without the styles of low importance."""
+    return "\n\n".join(text for path, text in body_of(blocks_of(html)[0]) if path not in low)
+
+
+_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("row", pa.int64()), ("body", pa.int64()),
+                     ("paths", pa.list_(pa.string())), ("texts", pa.list_(pa.string())), ("content", pa.list_(pa.int64())),
+                     ("branches", pa.list_(pa.string())), ("presentation", pa.list_(pa.int64()))])
+_PARSED_DDL = ("page_id bigint, url string, host string, row bigint, body bigint, paths array<string>, texts array<string>, "
+               "content array<bigint>, branches array<string>, presentation array<bigint>")
+
+
+def _parse(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import hashlib
 
     def short(text: str) -> int:
         return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
+    def clean(text: str) -> str:
+        return text.encode("utf-8", "replace").decode("utf-8")
+
     for batch in it:
         for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-            rows = []
-            for host, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            out = []
+            for page in part.column(4).to_pylist():
                 blocks, branches = blocks_of(page or "")
-                rows += sorted({(host, path, "content", short(text)) for path, text, _, _ in blocks})
-                rows += [(host, path, "presentation", short("\n".join(styles))) for path, styles in branches]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _FEATURE.types)], schema=_FEATURE)
+                body = [(path, clean(text)) for path, text in body_of(blocks)]
+                texts = [text for _, text in body]
+                out.append((short("\n".join(texts)), [path for path, _ in body], texts, [short(text) for text in texts],
+                            [path for path, _ in branches], [short("\n".join(styles)) for _, styles in branches]))
+            if out:
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], *(pa.array(c, t) for c, t in zip(zip(*out), _PARSED.types[4:]))], schema=_PARSED)
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """A row per page with its body's blocks (paths, texts, hashes as content) and its branches with their presentation."""
+    host, _ = host_and_path(F.col("url"))
+    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", host.alias("host"), F.monotonically_increasing_id().alias("row"), "html")
+    return stored(rows.mapInArrow(_parse, _PARSED_DDL), "page-blocks")
+
 
+def style_tree(rows: DataFrame) -> DataFrame:
+    """host, path, pages, importance of every style with text of its own: the merged trees of all hosts, from ``parsed`` pages."""
+    once = rows.groupBy("host", "body").agg(F.min("row").alias("row"))
+    hosts = once.groupBy("host").agg(F.count("*").alias("all_pages"))
+    distinct = rows.select("host", "row", "paths", "content", "branches", "presentation").join(once.select("row"), "row", "left_semi")
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, pages, importance of every style node: the merged trees of all hosts."""
-    counts = stored(pages.select("host", "html").mapInArrow(_features, "host string, path string, kind string, value bigint")
+    def cells(kind: str, paths: str):
+        pairs = F.transform(F.arrays_zip(paths, kind), lambda x: F.struct(x[paths].alias("path"), F.lit(kind).alias("kind"), x[kind].alias("value")))
+        return F.array_distinct(pairs)
+
+    counts = stored(distinct.select("host", F.inline(F.concat(cells("content", "paths"), cells("presentation", "branches"))))
                     .groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c")), "style-counts")
-    hosts = pages.groupBy("host").agg(F.count("*").alias("all_pages"))
-    node = (counts.groupBy("host", "path", "kind").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
+    node = (counts.groupBy("host", "path", "kind")
+            .agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.avg(F.log("c")).alias("logc"))
             .join(hosts, "host"))                                                # a row per host and style by now
     scale = F.greatest(F.log(F.col("all_pages").cast("double")), F.lit(1e-9))
-    entropy = F.col("clogc") / F.col("n") / scale                                # mean entropy of the node's blocks
+    entropy = F.col("logc") / scale                                              # mean entropy of the style's distinct blocks
     shape = (F.log("n") - F.col("clogc") / F.col("n")) / F.greatest(F.log(F.col("n").cast("double")), F.lit(1e-9))
-    content = node.filter("kind = 'content'").select("host", "path", "n", (1 - entropy).alias("own"))
+    content = node.filter("kind = 'content'").select("host", "path", F.col("n").alias("blocks"), "all_pages", (1 - entropy).alias("own"))
     shapes = node.filter("kind = 'presentation'").select("host", "path", F.col("n").alias("pages"), shape.alias("shape"))
-    # every branch above a leaf path; the tables from here on hold a row per host and style
-    steps = F.split("path", "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.concat_ws("/", F.slice(steps, 1, i)))
-    branch = (content.withColumn("branch", F.explode(above)).groupBy("host", F.col("branch").alias("path"))
-              .agg((F.sum(F.col("n") * F.col("own")) / F.sum("n")).alias("content"), F.sum("n").alias("blocks")))
-    return (branch.join(shapes, ["host", "path"], "left").join(hosts, "host")
+    return (content.join(shapes, ["host", "path"], "left")
             .select("host", "path", F.coalesce("pages", "blocks").alias("pages"), "blocks", "all_pages",
-                    (F.col("content") + PRESENTATION * F.coalesce("shape", F.lit(0.0)) * (1 - F.col("content"))).alias("importance")))
+                    (F.col("own") + PRESENTATION * F.coalesce("shape", F.lit(0.0)) * (1 - F.col("own"))).alias("importance")))
 
 
 def low_styles(tree: DataFrame) -> DataFrame:
-    """host, paths: branches of too little importance, on hosts with enough pages."""
+    """host, low: styles of too little importance, on hosts with enough pages."""
     best = F.max("importance").over(Window.partitionBy("host"))
     return (tree.filter((F.col("all_pages") >= MIN_PAGES) & (F.col("blocks") >= MIN_PAGES)).withColumn("best", best)
-            .filter(F.col("importance") < LOW_SHARE * F.col("best")).groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("paths")))
-
-
-def text_of(html: str, low: frozenset[str]) -> str:
-    """Main text: the blocks of article or main if the page has any, else of the page; low-importance branches are left out."""
-    blocks = [b for b in blocks_of(html)[0] if not b[3]]
-    if any(main for _, _, main, _ in blocks):
-        blocks = [b for b in blocks if b[2]]
-
-    def is_low(path: str) -> bool:
-        return any(path == p or path.startswith(p + "/") for p in low)
-
-    known = {path: is_low(path) for path, _, _, _ in blocks} if low else {}
-    return "\n\n".join(text for path, text, _, _ in blocks if not known.get(path, False))
-
-
-def _extract(at: int, width: int, schema: pa.Schema):
-    def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                texts = [text_of(page or "", frozenset(low or ())) for page, low in zip(part.column(at).to_pylist(), part.column(at + 1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([*part.columns[:width], pa.array(texts, pa.string())], schema=schema)
-
-    return task
+            .filter(F.col("importance") < LOW_SHARE * F.col("best")).groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low")))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every row."""
-    host, _ = host_and_path(F.col("url"))
-    rows = pages.select("page_id", "url", host.alias("host"), "html")
+    rows = parsed(pages)
     low = stored(low_styles(style_tree(rows)), "low-styles")
-    size = low.agg(F.coalesce(F.sum(F.length("host") + F.length(F.concat_ws("/", "paths"))), F.lit(0))).first()[0]
+    size = low.agg(F.coalesce(F.sum(F.length("host") + F.length(F.concat_ws("/", "low"))), F.lit(0))).first()[0]
     side = F.broadcast(low) if size <= BROADCAST_BYTES else low
-    kind = dict(pages.dtypes)["page_id"]
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
-    return (rows.join(side, "host", "left").select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html", "paths")
-            .mapInArrow(_extract(2, 2, schema), "page_id bigint, url string, text string")
-            .withColumn("page_id", F.col("page_id").cast(kind)))
+    kept = F.filter(F.arrays_zip("paths", "texts"), lambda b: ~F.coalesce(F.array_contains("low", b["paths"]), F.lit(False)))
+    return (rows.select("page_id", "url", "host", "paths", "texts").join(side, "host", "left")
+            .select(F.col("page_id").cast(dict(pages.dtypes)["page_id"]).alias("page_id"), "url",
+                    F.concat_ws("\n\n", F.transform(kept, lambda b: b["texts"])).alias("text")))

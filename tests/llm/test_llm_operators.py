@@ -137,6 +137,27 @@ def test_page_text(spark):
     assert site_style.extract_text(pages.limit(0)).count() == 0
 
 
+def page_texts(spark, pages):
+    table = spark.createDataFrame([(i, url, html) for i, (url, html) in enumerate(pages)], "page_id bigint, url string, html string")
+    return [r.text for r in site_style.extract_text(table).orderBy("page_id").collect()]
+
+
+def test_template_blocks_do_not_take_their_branch_along(spark):
+    bar = "".join(f"<div class='link'>Link {k}</div>" for k in range(50))
+    own = [[f"Paragraph {k} of page {i}" for k in range(10)] for i in range(100)]
+    pages = [("http://h.a/x", f"<html><body><div class='top'>{bar}</div>{''.join(f'<p>{p}</p>' for p in own[i])}</body></html>") for i in range(100)]
+    assert page_texts(spark, pages) == ["\n\n".join(p) for p in own]
+    # the same with the paragraphs' own style
+    mixed = [("http://h.a/x", html.replace("<div class='link'>", "<p>").replace("</div>", "</p>")) for _, html in pages]
+    assert all(text.endswith("\n\n".join(p)) for text, p in zip(page_texts(spark, mixed), own))
+
+
+def test_copies_of_an_article_are_no_template(spark):
+    loose = [(f"http://h.b/x?v={i}", f"<body><div class='ad'>Buy {i}</div><div class='text'><p>One</p><p>Two</p></div></body>") for i in range(20)]
+    framed = [(f"http://h.c/x?v={i}", f"<body><div class='tip'>Tip {i}</div><article><p>One</p><p>Two</p></article></body>") for i in range(20)]
+    assert page_texts(spark, loose + framed) == ["One\n\nTwo"] * 40
+
+
 # --- 3 ----------------------------------------------------------------------
 
 def base(text):
