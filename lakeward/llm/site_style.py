@@ -8,7 +8,8 @@ blocks (a block that stands on every page has entropy 1, one that stands on a si
 the entropy of the sequences of child styles its pages show.  Styles whose importance is a small share of the best one's on
 their host are removed from each page.  So a branch goes only where all styles with text below it are low, never above one that stays.
 Branches whose tag, class, id or role names a menu, header, footer, sidebar, notice, advert, form, script,
-style or reader comments go as well, which also serves hosts with too few pages to tell.
+style or reader comments go as well, which also serves hosts with too few pages to tell.  Of a class, id or role only the last
+part counts ("site-menu"; not "menu-open", "has-sidebar", "single-column-form"), and an element that holds a page's only article, main or h1 stays.
 
 Pages are parsed once.  Counts are aggregated by (host, style, block) with partial aggregation, so a host with a third of all
 pages is no single task; the table of removed styles is broadcast if measured small, else joined by host.
@@ -41,6 +42,7 @@ SKIP_NAMES = frozenset("ad ads advert adverts advertisement advertisements adver
                        "navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget widgets related share sharing social "
                        "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments "
                        "respond reply replies disqus toolbar pagination pager contentinfo complementary search form".split())
+STATES = frozenset("has have with no without not hide show is on off open column columns col layout".split())    # a name after one of these is a state
 BLOCK_TAGS = frozenset("address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup "
                        "hr html legend li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,31 +56,41 @@ _NAME = re.compile(r"[a-z0-9]+")
 _WHITE = re.compile(r"\s+")
 
 
-def _style(tag: str, attrs: str) -> tuple[str, bool]:
-    """Style of an element and whether its own markup says it is no main text."""
-    skip = tag in SKIP_TAGS
+def _names_other(value: str) -> bool:
+    """Whether a class, id or role attribute says that the element is no main text: a whole name, or the last part of one, that is no state."""
+    for name in value.split():
+        parts = _NAME.findall(name)
+        if parts and parts[-1] in SKIP_NAMES and STATES.isdisjoint(parts):
+            return True
+    return False
+
+
+def _style(tag: str, attrs: str) -> tuple[str, bool, bool]:
+    """Style of an element, whether its tag or state says it is no main text, and whether its names say so."""
+    skip, named = tag in SKIP_TAGS, False
     if not attrs or "=" not in attrs and "hidden" not in attrs:
-        return tag, skip
-    names, role = [], ""
+        return tag, skip, named
+    role = ""
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
-        if name == "class":
-            names += _NAME.findall(value)
-            role = value
-        elif name == "id":
-            names += _NAME.findall(value)
-        elif name == "role":
-            names += _NAME.findall(value)
+        if name in ("class", "id", "role"):
+            named = named or _names_other(value)
+            role = value if name == "class" else role
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             skip = True
-    return (f"{tag}.{'.'.join(sorted(set(_NAME.findall(role))))}" if role else tag), skip or tag not in ("html", "body", "article", "main") and not SKIP_NAMES.isdisjoint(names)
+    return (f"{tag}.{'.'.join(sorted(set(_NAME.findall(role))))}" if role else tag), skip, named
 
 
-def blocks_of(html: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[str, tuple[str, ...]]]]:
+def blocks_of(html: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[str, tuple[str, ...]]]]:
     """Blocks of a page in order: (style path, text, inside article or main, ruled out by its own
-    markup); and (path, child styles) of its branches, without ruled-out ones.  Ruled-out inline elements have no text."""
+    markup); and (path, child styles) of its branches, without ruled-out ones.  Ruled-out inline elements have no text.
+
+    ``spared``: numbers of the start tags whose names do not rule them out, as they hold the page's only article, main or h1."""
     blocks: list[tuple[str, str, bool, bool]] = []
-    stack: list[tuple[str, str, bool, bool, bool]] = []     # tag, style path, ruled out, inside main, without text
+    # tag, style path, ruled out, inside main, without text, elements above ruled out by their names or spared
+    stack: list[tuple[str, str, bool, bool, bool, tuple[int, ...]]] = []
+    held: dict[str, list[tuple[int, ...]]] = {}             # of each article, main and h1, the elements that rule it out by their names
+    number = 0
     children: dict[str, list[str]] = {}
     buffer: list[str] = []
 
@@ -87,7 +99,7 @@ def blocks_of(html: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[
             text = _WHITE.sub(" ", entities.unescape("".join(buffer))).strip()
             buffer.clear()
             if text:
-                _, path, skip, main, _ = stack[-1] if stack else ("", "", False, False, False)
+                _, path, skip, main, _, _ = stack[-1] if stack else ("", "", False, False, False, ())
                 blocks.append((path, text, main, skip))
 
     def pop_to(depth: int) -> None:
@@ -130,8 +142,17 @@ def blocks_of(html: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[
                     break
                 if stack[i][0] in _SAME[tag]:
                     break
-        style, skip = _style(tag, m[3])
-        above = stack[-1] if stack else ("", "", False, False, False)
+        number += 1
+        style, skip, named = _style(tag, m[3])
+        above = stack[-1] if stack else ("", "", False, False, False, ())
+        names = above[5]
+        if named and tag not in ("html", "body", "article", "main"):
+            names = (*names, number)
+        if tag in ("article", "main", "h1") and not skip and not (named and tag == "article"):
+            place = tuple(i for i in names if i not in spared)
+            if place or not above[2]:
+                held.setdefault(tag, []).append(place)
+        skip = skip or names[-1:] == (number,) and number not in spared
         if not above[2] and not skip:
             children.setdefault(above[1], []).append(style)
         if tag in VOID_TAGS or m[3].rstrip().endswith("/") and tag in ("svg", "path"):
@@ -143,10 +164,13 @@ def blocks_of(html: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[
             at = stop.end() if stop else n
             continue
         inline = tag not in _CLOSES_P and not skip
-        stack.append((tag, above[1] if inline else f"{above[1]}/{style}", above[2] or skip, above[3] or tag in ("article", "main"),
-                      above[4] or skip and tag not in _CLOSES_P))
+        stack.append((tag, above[1] if inline else f"{above[1]}/{style}", above[2] or skip,
+                      above[3] or tag in ("article", "main") and not names, above[4] or skip and tag not in _CLOSES_P, names))
     pop_to(0)
     end_block()
+    more = {i for places in held.values() if all(places) for place in places for i in place}
+    if more:
+        return blocks_of(html, spared | more)
     return blocks, [(path, tuple(styles)) for path, styles in children.items()]
 
 

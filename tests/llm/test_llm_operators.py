@@ -158,6 +158,27 @@ def test_copies_of_an_article_are_no_template(spark):
     assert page_texts(spark, loose + framed) == ["One\n\nTwo"] * 40
 
 
+@pytest.mark.parametrize("attrs", ["class='content has-sidebar'", "id='main' class='no-sidebar'", "class='with-header'", "class='single-column-form'",
+                                   "class='page-menu-open'", "class='comments-off'", "class='login'"])
+def test_state_names_rule_out_no_article(attrs):
+    for head in ("<h1>Title</h1>", "<article><h1>Title</h1></article>"):
+        page = f"<body><div class='site-menu'><p>Home</p></div><div {attrs}>{head}<p>Text</p></div><div class='main-footer'>(c)</div></body>"
+        assert site_style.text_of(page.replace("</article><p>Text</p>", "<p>Text</p></article>"), frozenset()) == "Title\n\nText"
+        assert site_style.text_of(page.replace("</article><p>Text</p>", "<p>Text</p></article>").replace("div", "x-box"), frozenset()).endswith("Text")
+    if "login" not in attrs:
+        assert site_style.text_of(f"<body><div {attrs}><p>Text</p></div></body>", frozenset()) == "Text"
+
+
+def test_title_in_a_named_heading_stays():
+    assert site_style.text_of("<header><h1>Site</h1></header><div class='login'><h1 class='page-header'>Title</h1><p>Text</p></div>", frozenset()) == "Title\n\nText"
+
+
+def test_names_still_rule_out_what_is_beside_the_article():
+    beside = "<div class='comments'><article class='comment'><p>Nice</p></article></div><div class='related'><article><h1>Other</h1></article></div>"
+    assert site_style.text_of(f"<body><article><h1>Title</h1><p>Text</p></article>{beside}</body>", frozenset()) == "Title\n\nText"
+    assert "Text" in site_style.text_of(f"<body><h1>Title</h1><p>Text</p>{beside}</body>", frozenset())
+
+
 # --- 3 ----------------------------------------------------------------------
 
 def base(text):
