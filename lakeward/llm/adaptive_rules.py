@@ -10,6 +10,10 @@ smoothed by merging in a scaled copy of the language's sketch and of the
 overall one, which lets a small group lean on its parents.  The fences are
 joined back to the rows (a table of groups, not of documents).
 
+A group full of junk has junk quartiles, so no fence lies beyond twice the usual one: the median, over the sources of
+its language (over all groups, if it has under MIN_SOURCES), each weighing the same, of a fence from the lower half of their
+own sketches.  Junk moves it only if it fills half of the rows in half of the sources.
+
 Defined cases: a null or empty text has no words and fails the base rule; null
 lang or source form a group of their own; repeated rows are judged alike, each
 returned; extra columns are ignored; an empty table gives an empty result.
@@ -31,6 +35,8 @@ MAX_REPEAT_PERCENT = 50
 STEPS = 1000                 # grid of the sketch: per mille
 PRIOR_ROWS = 200             # weight of each parent sketch merged into a group's own
 SPREADS = 6                  # fence: third quartile plus this many interquartile ranges
+MIN_SOURCES = 3              # fewer sources of a language say nothing of what is usual in it
+CAP = 2                      # times the usual fence
 SLACK = {"symbols": 20, "dup_lines": 300, "repeats": 400}    # least distance of a fence above the third quartile, per mille
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -138,9 +144,34 @@ def _scaled(cells: DataFrame, keys: list[str]) -> DataFrame:
     return one.join(total, same).select(*keys, "ratio", "step", (F.lit(PRIOR_ROWS) * F.col("n") / F.col("all_n")).alias("n"))
 
 
+def _slack() -> Column:
+    slack = F.lit(0)
+    for k, v in SLACK.items():
+        slack = F.when(F.col("ratio") == k, F.lit(v)).otherwise(slack)
+    return slack
+
+
+def _quantiles(cells: DataFrame, **shares: float) -> DataFrame:
+    """A row per (lang, source, ratio) with the steps at the given shares of its rows."""
+    w = Window.partitionBy("lang", "source", "ratio")
+    upto = F.sum("n").over(w.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)) / F.sum("n").over(w)
+    return (cells.withColumn("upto", F.round(upto, 9)).groupBy("lang", "source", "ratio")
+            .agg(*[F.min(F.when(F.col("upto") >= v, F.col("step"))).alias(k) for k, v in shares.items()]))
+
+
+def caps(cells: DataFrame) -> DataFrame:
+    """(lang, ratio, cap) from sketches: CAP times the median of the sources' fences, each from the lower half of its own sketch."""
+    lower = _quantiles(cells, q1=0.25, q2=0.5).withColumn("usual", F.col("q2") + F.greatest(2 * SPREADS * (F.col("q2") - F.col("q1")), _slack()))
+    median = F.expr("percentile_disc(0.5) within group (order by usual)").cast("int")
+    by_lang = lower.groupBy("lang", "ratio").agg(F.count("*").alias("sources"), median.alias("usual"))
+    overall = lower.groupBy(F.col("ratio").alias("r")).agg(median.alias("any_usual"))
+    return (by_lang.join(overall, F.col("ratio") == F.col("r"))
+            .select("lang", "ratio", (CAP * F.when(F.col("sources") >= MIN_SOURCES, F.col("usual")).otherwise(F.col("any_usual"))).alias("cap")))
+
+
 def fences(cells: DataFrame) -> DataFrame:
     """(lang, source, ratio, fence) from sketches: third quartile plus the larger of
-    SPREADS interquartile ranges and the ratio's least slack."""
+    SPREADS interquartile ranges and the ratio's least slack, at most the language's cap."""
     groups = cells.select("lang", "source", "ratio").distinct()
     by_lang, overall = _scaled(cells, ["lang"]), _scaled(cells, [])
     g1 = groups.join(by_lang.withColumnRenamed("lang", "l").withColumnRenamed("ratio", "r"),
@@ -148,16 +179,10 @@ def fences(cells: DataFrame) -> DataFrame:
     g2 = groups.join(overall, "ratio").select("lang", "source", "ratio", "step", "n")
     merged = (cells.select("lang", "source", "ratio", "step", F.col("n").cast("double").alias("n")).unionByName(g1).unionByName(g2)
               .groupBy("lang", "source", "ratio", "step").agg(F.sum("n").alias("n")))
-    w = Window.partitionBy("lang", "source", "ratio")
-    upto = F.sum("n").over(w.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)) / F.sum("n").over(w)
-    quart = (merged.withColumn("upto", F.round(upto, 9)).groupBy("lang", "source", "ratio")
-             .agg(F.min(F.when(F.col("upto") >= 0.25, F.col("step"))).alias("q1"),
-                  F.min(F.when(F.col("upto") >= 0.75, F.col("step"))).alias("q3")))
-    slack = F.lit(0)
-    for k, v in SLACK.items():
-        slack = F.when(F.col("ratio") == k, F.lit(v)).otherwise(slack)
-    return quart.select("lang", "source", "ratio",
-                        (F.col("q3") + F.greatest(SPREADS * (F.col("q3") - F.col("q1")), slack)).alias("fence"))
+    most = caps(cells).withColumnsRenamed({"lang": "c_lang", "ratio": "c_ratio"})
+    return (_quantiles(merged, q1=0.25, q3=0.75).join(most, F.col("lang").eqNullSafe(F.col("c_lang")) & (F.col("ratio") == F.col("c_ratio")))
+            .select("lang", "source", "ratio",
+                    F.least(F.col("q3") + F.greatest(SPREADS * (F.col("q3") - F.col("q1")), _slack()), F.col("cap")).alias("fence")))
 
 
 def judge(docs: DataFrame) -> DataFrame:

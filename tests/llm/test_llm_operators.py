@@ -212,6 +212,20 @@ def test_adaptive_fence_rejects_an_outlier(spark):
     assert all(got[i][0].kept for i in range(60)) and not got[900][0].kept
 
 
+@pytest.mark.parametrize("share", [30, 60, 100])
+def test_a_source_full_of_junk_has_no_fence_of_its_own(spark, share):
+    clean = [(1000 * s + i, 0, 100, 0, 0, 0, "en", f"s{s}", False) for s in range(3) for i in range(40)]
+    # a hot source with most of the rows; symbol shares of junk as in the given tables
+    hot = [(9000 + i, 0, 1000, (100, 125, 310, 385)[i % 4] if i % 100 < share else 0, 0, 0, "en", "hot", False) for i in range(800)]
+    stats = spark.createDataFrame(clean + hot, "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
+                                               "n_repeat_words bigint, lang string, source string, base_failed boolean")
+    cells = adaptive_rules.sketches(stats)
+    assert all(20 <= r.fence < 100 for r in adaptive_rules.fences(cells).filter("ratio = 'symbols'").collect())
+    if share < 50:                                         # a table of that source alone
+        alone = adaptive_rules.fences(cells.filter("source = 'hot' and ratio = 'symbols'")).collect()
+        assert len(alone) == 1 and alone[0].fence < 100
+
+
 def test_sketches_merge_by_adding(spark, docs):
     stats = adaptive_rules.base_statistics(docs)
     whole = adaptive_rules.sketches(stats)
