@@ -1,8 +1,8 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-For a benchmark item of n words every window of n words of a document that shares a
-shingle with an item of that size, laid so that the shared shingle sits where the item has it, gets a
-64-bit SimHash.  (A window without any shared shingle has similarity 0, so leaving those out loses nothing.)
+For a benchmark item of n words every window of n words of a document that holds enough shingles of
+items of that size to reach the similarity gets a 64-bit SimHash.  (A window with fewer shares fewer with each item, so
+leaving it out loses nothing.)
 Fingerprints are cut into radius+1 blocks: two that differ in at most ``radius`` bits agree in one
 block, so an equi-join on (size, block, bits) finds all pairs within the radius.
 Those pairs are verified by exact weighted similarity: shingles weighted by
@@ -68,14 +68,40 @@ _ROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64(
 _ROW_DDL = "doc_id bigint, start bigint, n bigint, fp bigint, shingles array<bigint>"
 
 
-def _windows(table: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], k: int):
-    """table: shingle length -> (sorted shingles, first entry of each, item sizes, places in the item)."""
+def _least(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Shared shingles that sets of a and b need at least to reach the similarity."""
+    return np.maximum(-(-percent * (a + b) // (100 + percent)), 1)
+
+
+def _starts(p: np.ndarray, n: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entry and start of every window of n words with enough hits, for hits p in documents from begin to end, ordered by (n, p).
+
+    Of the starts whose first hit is the j-th, those whose window reaches the hit that makes the count full."""
+    places, at = n - width + 1, np.arange(len(p))
+    head = np.ones(len(p), dtype=bool)
+    head[1:] = (n[1:] != n[:-1]) | (begin[1:] != begin[:-1])
+    group = np.cumsum(head) - 1
+    size = np.bincount(group)[group]
+    long = end - begin >= n
+    last = at + _least(places, places, percent) - 1
+    full = np.minimum(last, len(p) - 1)
+    fits = long & (last < len(p)) & (group[full] == group) & (p[full] - p < places)
+    low = np.maximum(np.where(head, begin, np.append(0, p[:-1]) + 1), np.maximum(p[full] - places + 1, begin))
+    count = np.where(fits, np.maximum(np.minimum(p, end - n) - low + 1, 0), 0)
+    short = head & ~long & (size >= _least(np.maximum(end - begin - width + 1, 0), places, percent))     # the whole document
+    count, low = np.where(short, 1, count), np.where(short, begin, low)
+    entry = np.repeat(at, count)
+    return entry, low[entry] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _windows(table: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], k: int, percent: int):
+    """table: shingle length -> (sorted shingles, first entry of each, item sizes)."""
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for rows, data, off in slices(batch):
                 h, first = _word_hashes(data, off)
                 found = []
-                for width, (known, at, sizes, places) in table.items():
+                for width, (known, at, sizes) in table.items():
                     if len(h) < width:
                         continue
                     g = window_hash(h, width)
@@ -86,10 +112,12 @@ def _windows(table: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
                         continue
                     count = at[slot[p] + 1] - at[slot[p]]
                     entry = np.repeat(at[slot[p]], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    d, n = np.repeat(doc[p], count), sizes[entry]
-                    long = first[d + 1] - first[d]
-                    start = np.clip(np.repeat(p, count) - first[d] - places[entry], 0, np.maximum(long - n, 0))
-                    found.append(np.stack([d, n, start], axis=1))
+                    n, p = sizes[entry], np.repeat(p, count)
+                    order = np.lexsort((p, n))
+                    n, p = n[order], p[order]
+                    d = doc[p]
+                    entry, start = _starts(p, n, first[d], first[d + 1], width, percent)
+                    found.append(np.stack([d[entry], n[entry], start - first[d[entry]]], axis=1))
                 if not found:
                     continue
                 out = []
@@ -133,10 +161,9 @@ def _table(rows: list, k: int) -> dict:
         own = [r for r in rows if min(k, r["n"]) == width]
         s = np.concatenate([np.array(r["ordered"], dtype=np.int64) for r in own]).view(np.uint64)
         n = np.concatenate([np.full(len(r["ordered"]), r["n"]) for r in own])
-        q = np.concatenate([np.arange(len(r["ordered"])) for r in own])
-        every = np.unique(np.stack([s, n.astype(np.uint64), q.astype(np.uint64)], axis=1), axis=0)
+        every = np.unique(np.stack([s, n.astype(np.uint64)], axis=1), axis=0)
         known, at = np.unique(every[:, 0], return_index=True)
-        out[width] = (known, np.append(at, len(every)), every[:, 1].astype(np.int64), every[:, 2].astype(np.int64))
+        out[width] = (known, np.append(at, len(every)), every[:, 1].astype(np.int64))
     return out
 
 
@@ -176,7 +203,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
         return spark.createDataFrame([], "doc_id bigint, item_id bigint, start bigint, n_words bigint, hamming int, similarity double")
     rows = None
     for part in parts:
-        got = stored(texts.mapInArrow(_windows(part, shingle), _ROW_DDL), "item-windows")
+        got = stored(texts.mapInArrow(_windows(part, shingle, percent), _ROW_DDL), "item-windows")
         rows = got if rows is None else rows.unionByName(got)
     keyed = _keyed(rows.withColumn("window", F.struct("doc_id", "start", "n")), radius)
     own = _keyed(items.select("item_id", F.col("n").alias("i_n"), "fp", F.col("shingles").alias("i_shingles")), radius).withColumnsRenamed(

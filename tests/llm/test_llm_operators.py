@@ -356,6 +356,27 @@ def test_contaminated_windows(spark, docs, no_docs):
     assert simhash_windows.contaminated(docs, bench, part_words=10).select("doc_id", "item_id").distinct().count() == len({g for g in got if g[0] < 40})
 
 
+def test_windows_between_aligned_ones_are_found(spark):
+    from collections import Counter
+
+    item = [f"w{i}" for i in range(100)]
+    edited = ["a0", "a1"] + item[2:50] + [f"in{i}" for i in range(5)] + item[50:98] + ["b0", "b1"]
+    short = item[:95]
+    texts_ = {1: edited, 2: passage(90, 30) + edited + passage(91, 30), 3: short, 4: item[:70], 5: passage(92, 9) + item + item, 6: item[::-1]}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts_.items()], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[20:60]))], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id, r.start) for r in simhash_windows.contaminated(docs, bench).collect()}
+    want = set()
+    for d, w in texts_.items():
+        for k, own in ((1, item), (2, item[20:60])):
+            a = Counter(zip(*(own[j:] for j in range(5))))
+            for s in range(max(1, len(w) - len(own) + 1)):
+                b = Counter(zip(*(w[s:s + len(own)][j:] for j in range(5))))
+                if 100 * (a & b).total() >= 80 * (a | b).total():
+                    want.add((d, k, s))
+    assert got == want and {s for d, k, s in got if (d, k) == (1, 1)} >= {2, 3} and (3, 1, 0) in got
+
+
 def test_blocks_agree_within_the_radius():
     blocks = simhash_windows._blocks(simhash_windows.RADIUS)
     assert len(blocks) == simhash_windows.RADIUS + 1 and sum(w for _, w in blocks) == 64 and all(w > 0 for _, w in blocks)
