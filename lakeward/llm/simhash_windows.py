@@ -167,6 +167,20 @@ def _table(rows: list, k: int) -> dict:
     return out
 
 
+def _parts(items: DataFrame, k: int, part_words: int) -> Iterator[dict]:
+    """The tables of the benchmark's parts, each built when the one before has been used: the driver holds one part at a time."""
+    held, size = [], 0
+    for r in items.orderBy("n", "item_id").select("n", "ordered").toLocalIterator():
+        held.append(r)
+        size += r["n"]
+        if size >= part_words:
+            table = _table(held, k)
+            held, size = [], 0
+            yield table
+    if held:
+        yield _table(held, k)
+
+
 def _blocks(radius: int) -> list[tuple[int, int]]:
     """(shift, width) of radius+1 blocks that make up 64 bits."""
     count, out, at = radius + 1, [], 0
@@ -189,22 +203,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
     spark: SparkSession = docs.sparkSession
     items = stored(_items(benchmark, shingle), "benchmark-items")
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
-    order = items.orderBy("n", "item_id").select("n", "ordered")
-    parts, held, size = [], [], 0
-    for r in order.toLocalIterator():                 # a part at a time; the benchmark never stands whole on the driver
-        held.append(r)
-        size += r["n"]
-        if size >= part_words:
-            parts.append(_table(held, shingle))
-            held, size = [], 0
-    if held:
-        parts.append(_table(held, shingle))
-    if not parts:
-        return spark.createDataFrame([], "doc_id bigint, item_id bigint, start bigint, n_words bigint, hamming int, similarity double")
     rows = None
-    for part in parts:
+    for part in _parts(items, shingle, part_words):
         got = stored(texts.mapInArrow(_windows(part, shingle, percent), _ROW_DDL), "item-windows")
         rows = got if rows is None else rows.unionByName(got)
+    if rows is None:
+        return spark.createDataFrame([], "doc_id bigint, item_id bigint, start bigint, n_words bigint, hamming int, similarity double")
     keyed = _keyed(rows.withColumn("window", F.struct("doc_id", "start", "n")), radius)
     own = _keyed(items.select("item_id", F.col("n").alias("i_n"), "fp", F.col("shingles").alias("i_shingles")), radius).withColumnsRenamed(
         {"fp": "i_fp", "block": "i_block", "bits": "i_bits"})

@@ -377,6 +377,17 @@ def test_windows_between_aligned_ones_are_found(spark):
     assert got == want and {s for d, k, s in got if (d, k) == (1, 1)} >= {2, 3} and (3, 1, 0) in got
 
 
+def test_a_part_of_the_benchmark_is_used_before_the_next_is_built(spark, monkeypatch):
+    seen, table, windows = [], simhash_windows._table, simhash_windows._windows
+    monkeypatch.setattr(simhash_windows, "_table", lambda *a: seen.append("built") or table(*a))
+    monkeypatch.setattr(simhash_windows, "_windows", lambda *a: seen.append("used") or windows(*a))
+    items = [passage(400 + i, 20) for i in range(3)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id bigint, text string")
+    got = simhash_windows.contaminated(docs, bench, part_words=20)
+    assert seen == ["built", "used"] * 3 and {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i in range(3)}
+
+
 def test_blocks_agree_within_the_radius():
     blocks = simhash_windows._blocks(simhash_windows.RADIUS)
     assert len(blocks) == simhash_windows.RADIUS + 1 and sum(w for _, w in blocks) == 64 and all(w > 0 for _, w in blocks)
