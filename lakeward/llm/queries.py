@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lakeward.llm.adaptive_rules import judge
 from lakeward.llm.column_bwt import remove_shared_bytes
 from lakeward.llm.odd_sketch import near_duplicates
+from lakeward.llm.prefix_bpe import encode_documents
 from lakeward.llm.rule_ensemble import fit, score
 from lakeward.llm.seed_extend import remove_repeats
 from lakeward.llm.simhash_windows import contaminated
@@ -96,5 +97,11 @@ def op10_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
+def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_url_cascade, op2_site_style, op3_adaptive_rules, op4_odd_sketch, op5_tool_calls,
-                                   op6_rule_ensemble, op7_simhash_windows, op8_seed_extend, op9_column_bwt, op10_tier_packing)}
+                                   op6_rule_ensemble, op7_simhash_windows, op8_seed_extend, op9_column_bwt, op10_tier_packing, op12_prefix_bpe)}

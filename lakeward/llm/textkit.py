@@ -66,10 +66,10 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, off: np.ndarray, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word and, per document, the index of its
-    first word (one more entry than documents)."""
-    inside = ~_SPACE[data]
+    first word (one more entry than documents).  ``separators``: per byte value, whether it stands between words."""
+    inside = ~separators[data]
     before = np.zeros(len(data) + 1, dtype=bool)
     before[1:] = inside
     heads = off[:-1][off[:-1] < off[1:]]

@@ -12,7 +12,7 @@ from lakeward.llm.queries import QUERIES
 
 
 def test_all_are_registered():
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in QUERIES}
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
