@@ -110,4 +110,20 @@ FROM calls c LEFT JOIN results r USING (conv_id, call_id) LEFT JOIN deep d USING
 UNION ALL
 SELECT r.conv_id, r.call_id, r.turn, NULL, NULL, 'no_call', NULL, 1, NULL FROM results r ANTI JOIN calls c USING (conv_id, call_id)"""
 
-ORACLE = {"op1_url_cascade": OP1, "op3_adaptive_rules": OP3, "op4_odd_sketch": OP4, "op5_tool_calls": OP5, "op8_seed_extend": OP8}
+OP13 = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS key, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+asked AS (
+  SELECT item_id, row_number() OVER () AS item, unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS t FROM benchmark),
+total AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs),
+tf AS (SELECT key, t, count(*) AS tf FROM (SELECT key, unnest(w) AS t FROM docs) WHERE t IN (SELECT t FROM asked) GROUP BY key, t),
+weight AS (SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), total),
+score AS (
+  SELECT a.item_id, a.item, d.doc_id, d.key, sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * (50 + (50 * len(d.w) * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked a JOIN tf USING (t) JOIN weight w USING (t) JOIN docs d USING (key), total GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST, key) AS rank FROM score WHERE score > 0) WHERE rank <= 50"""
+
+ORACLE = {"op1_url_cascade": OP1, "op3_adaptive_rules": OP3, "op4_odd_sketch": OP4, "op5_tool_calls": OP5, "op8_seed_extend": OP8, "op13_norm_buckets": OP13}

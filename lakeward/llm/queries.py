@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeward.llm.adaptive_rules import judge
 from lakeward.llm.column_bwt import remove_shared_bytes
+from lakeward.llm.norm_buckets import search
 from lakeward.llm.odd_sketch import near_duplicates
 from lakeward.llm.prefix_bpe import encode_documents
 from lakeward.llm.rule_ensemble import fit, score
@@ -103,5 +104,10 @@ def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op13_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), top=50)
+
+
 QUERIES = {f.__name__: f for f in (op1_url_cascade, op2_site_style, op3_adaptive_rules, op4_odd_sketch, op5_tool_calls,
-                                   op6_rule_ensemble, op7_simhash_windows, op8_seed_extend, op9_column_bwt, op10_tier_packing, op12_prefix_bpe)}
+                                   op6_rule_ensemble, op7_simhash_windows, op8_seed_extend, op9_column_bwt, op10_tier_packing,
+                                   op12_prefix_bpe, op13_norm_buckets)}
