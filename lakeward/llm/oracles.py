@@ -110,6 +110,35 @@ FROM calls c LEFT JOIN results r USING (conv_id, call_id) LEFT JOIN deep d USING
 UNION ALL
 SELECT r.conv_id, r.call_id, r.turn, NULL, NULL, 'no_call', NULL, 1, NULL FROM results r ANTI JOIN calls c USING (conv_id, call_id)"""
 
+OP11 = r"""
+WITH pieces AS (
+  SELECT lang, p, row_number() OVER () AS id FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+split AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+freq AS MATERIALIZED (
+  SELECT lang, phrase, k, count(*) AS f FROM (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+      SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, (VALUES (1), (2), (3), (4)) l(k)))
+  GROUP BY ALL HAVING count(*) >= 30),
+inner_parts AS (
+  SELECT lang, f, array_to_string(w[s:s + m - 1], ' ') AS phrase FROM (
+    SELECT lang, f, w, m, unnest(range(1, k - m + 2)) AS s FROM (
+      SELECT lang, f, k, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS m FROM freq WHERE k > 2))),
+around AS (SELECT lang, phrase, max(f) AS most FROM inner_parts GROUP BY ALL),
+kept AS (SELECT x.lang, x.phrase, x.k, x.f AS a FROM freq x LEFT JOIN around y USING (lang, phrase)
+         WHERE k > 1 AND (most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * x.f)),
+cuts AS (
+  SELECT lang, phrase, a, c, array_to_string(w[1:c], ' ') AS head, array_to_string(w[c + 1:k], ' ') AS tail
+  FROM (SELECT lang, phrase, k, a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS c FROM kept)),
+scored AS (
+  SELECT q.lang, q.phrase, a, c, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cuts q JOIN freq x ON x.lang = q.lang AND x.phrase = head JOIN freq y ON y.lang = q.lang AND y.phrase = tail),
+lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS nth FROM scored) WHERE nth = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest) JOIN total USING (lang) WHERE rank <= 2000"""
+
 OP13 = r"""
 WITH docs AS (
   SELECT doc_id, row_number() OVER () AS key, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -126,4 +155,5 @@ score AS (
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST, key) AS rank FROM score WHERE score > 0) WHERE rank <= 50"""
 
-ORACLE = {"op1_url_cascade": OP1, "op3_adaptive_rules": OP3, "op4_odd_sketch": OP4, "op5_tool_calls": OP5, "op8_seed_extend": OP8, "op13_norm_buckets": OP13}
+ORACLE = {"op1_url_cascade": OP1, "op3_adaptive_rules": OP3, "op4_odd_sketch": OP4, "op5_tool_calls": OP5, "op8_seed_extend": OP8, "op11_son_phrases": OP11,
+          "op13_norm_buckets": OP13}

@@ -15,6 +15,7 @@ from lakeward.llm.rule_ensemble import fit, score
 from lakeward.llm.seed_extend import remove_repeats
 from lakeward.llm.simhash_windows import contaminated
 from lakeward.llm.site_style import extract_text
+from lakeward.llm.son_phrases import collocations
 from lakeward.llm.tier_packing import pack_documents
 from lakeward.llm.tool_calls import link_calls
 from lakeward.llm.url_cascade import judge_urls
@@ -98,6 +99,10 @@ def op10_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
+def op11_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_read(spark, sf_dir, "documents"))
+
+
 def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -110,4 +115,4 @@ def op13_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_url_cascade, op2_site_style, op3_adaptive_rules, op4_odd_sketch, op5_tool_calls,
                                    op6_rule_ensemble, op7_simhash_windows, op8_seed_extend, op9_column_bwt, op10_tier_packing,
-                                   op12_prefix_bpe, op13_norm_buckets)}
+                                   op11_son_phrases, op12_prefix_bpe, op13_norm_buckets)}
