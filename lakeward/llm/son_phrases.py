@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 from lakeward.llm.textkit import _A, _M2, hash_words, lower_ascii, mix, signed, slices, stored, words
 
 SUPPORT, LONGEST = 30, 4
-SHARDS = 5
+SHARDS = 3
 CONTAINED = 80               # percent of a phrase's occurrences from which a longer one around it replaces it
 TOP = 2000
 SCORE = "(cast(2000000 as decimal(7,0)) * cast(a as decimal(20,0))) div (cast(l as decimal(20,0)) + r)"
-FILTER_BITS = 1 << 27        # of the phrases found frequent at a level: 16 MB, whatever their number
-HELD = 1 << 21               # phrases counted in a task before they are sent on
+FILTER_BITS = 1 << 26        # of the phrases found frequent at a level: 8 MB, whatever their number
+HELD = 1 << 20               # phrases counted in a task before they are sent on
 
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
@@ -99,6 +99,17 @@ class Run:
         self.grams.append(mix(gram * _M2 + self.word[at + k]))
 
 
+    def spaced(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words with one space after each, and where each begins (one more entry than words)."""
+        word = np.zeros(len(self.word) + 1, dtype=np.int64)
+        np.cumsum(self.ends - self.starts + 1, out=word[1:])
+        out = np.full(word[-1], 32, dtype=np.uint8)
+        inside = np.ones(word[-1], dtype=bool)
+        inside[word[1:] - 1] = False
+        out[inside] = self.data[~_SEPARATOR[self.data]]
+        return out, word
+
+
 def _lang_hash(lang: pa.Array, known: dict[str, int]) -> np.ndarray:
     names = lang.dictionary_encode()
     for name in names.dictionary.to_pylist():
@@ -189,45 +200,61 @@ def _local(level: int, bits: np.ndarray | None):
 _COUNT = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("n", pa.int64())])
 
 
+class Strings:
+    """Counted phrases of a task, each with its text once: parallel arrays ordered by gram, and the texts in one buffer."""
+
+    def __init__(self):
+        self.gram, self.lang, self.k, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.text, self.at, self.size = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, gram: np.ndarray, lang: np.ndarray, k: np.ndarray, n: np.ndarray, text: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
+        gram, first, back = np.unique(np.concatenate([self.gram, gram]), return_index=True, return_inverse=True)
+        self.n = np.bincount(back, np.concatenate([self.n, n]), len(gram)).astype(np.int64)
+        self.lang, self.k = np.concatenate([self.lang, lang])[first], np.concatenate([self.k, k])[first]
+        at, self.size = np.concatenate([self.at, at + len(self.text)])[first], np.concatenate([self.size, size])[first]
+        bound = np.cumsum(self.size)
+        text = np.concatenate([self.text, text])
+        self.at = bound - self.size
+        self.text = text[np.arange(bound[-1] if len(bound) else 0) + np.repeat(at - self.at, self.size)]
+        self.gram = gram
+
+    def batches(self, names: list[str]) -> Iterator[pa.RecordBatch]:
+        lang = pa.array(names, pa.string())
+        bound = np.append(self.at, len(self.text))
+        texts = pa.Array.from_buffers(pa.large_string(), len(self.gram), [None, pa.py_buffer(bound), pa.py_buffer(self.text)])
+        for at in range(0, len(self.gram), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays([lang.take(pa.array(self.lang[part])), texts[part].cast(pa.string()), pa.array(self.k[part]), pa.array(self.n[part])], schema=_COUNT)
+
+
 def _global(bits: np.ndarray):
-    """Counts of all candidate phrases, as strings; a task keeps one string a phrase in a bounded table."""
+    """Counts of all candidate phrases, as strings: (lang, phrase, k, n), a phrase's rows merged as far as a bounded table reaches."""
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
-        table: dict[int, list] = {}                     # gram -> [lang, phrase, words, count]
-
-        def sent():
-            rows = list(table.values())
-            table.clear()
-            for at in range(0, len(rows), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at:at + (1 << 16)]), _COUNT.types)], schema=_COUNT)
-
+        place: dict[str, int] = {}
+        table = Strings()
         for batch in it:
             for rows, data, off in slices(batch):
+                lang = rows.column(0).dictionary_encode()
                 run = Run(data, off, _lang_hash(rows.column(0), known))
-                lang, raw = rows.column(0).to_pylist(), run.data.tobytes()
-                starts, ends = run.starts, run.ends
+                code = np.array([place.setdefault(x, len(place)) for x in lang.dictionary.to_pylist()], dtype=np.int32)[lang.indices.to_numpy()]
+                text, word = run.spaced()
+                grams, firsts, lengths = [], [], []
                 for k in range(1, LONGEST + 1):
                     keep = _holds(bits, run.grams[-1], None)
-                    gram, first, n = np.unique(run.grams[-1][keep], return_index=True, return_counts=True)
-                    first = run.at[-1][keep][first]
-                    doc = run.doc[first].tolist()
-                    a, b = starts[first].tolist(), ends[first + k - 1].tolist()
-                    for i, (g, count) in enumerate(zip(gram.tolist(), n.tolist())):
-                        got = table.get(g)
-                        if got is None:
-                            phrase = raw[a[i]:b[i]]
-                            if k > 1:                # one space between the words
-                                phrase = b" ".join(w for w in phrase.replace(b"\t", b" ").split(b" ") if w)
-                            table[g] = [lang[doc[i]], phrase.decode(), k, count]
-                        else:
-                            got[3] += count
+                    grams.append(run.grams[-1][keep])
+                    firsts.append(run.at[-1][keep])
+                    lengths.append(np.full(len(grams[-1]), k, dtype=np.int32))
                     if k < LONGEST:
                         run.longer(keep)
-                if len(table) > HELD // 8:
-                    yield from sent()
-        if table:
-            yield from sent()
+                gram, first, n = np.unique(np.concatenate(grams), return_index=True, return_counts=True)
+                at, k = np.concatenate(firsts)[first], np.concatenate(lengths)[first]
+                table.add(gram, code[run.doc[at]], k, n, text, word[at], word[at + k] - word[at] - 1)
+                if len(table.gram) > HELD // 2:
+                    yield from table.batches(list(place))
+                    table = Strings()
+        yield from table.batches(list(place))
 
     return task
 
