@@ -11,9 +11,10 @@ similarity; at high similarity few bits differ and the estimate is sharp.
 3. Every member is held against two of the bucket's (stars, linear in the bucket), its smallest and the
    one that shares most buckets with others, which in a group of edited copies is the copy next to all:
    sketch first, then the two whole texts' shingle sets.
-4. Buckets that are still in several components are compared in full, in
-   blocks of members, within tasks: only members of different components, and
-   only until they are linked.  Nothing is capped, no link is left out.
+4. In buckets that are still in several components all members of different components are held against each
+   other: first sizes and sketches alone, in blocks of members, which leaves the members with a near one; then
+   those members' whole texts, in blocks bounded by bytes, until they are linked.  A pair that shares several bands is
+   compared in the first of them alone.  Nothing is capped, no link is left out.
 5. Components of confirmed links.
 
 At the linking similarity a pair misses all bands with probability 5e-8 and
@@ -41,7 +42,9 @@ ROWS = 4                     # samples a band
 BANDS = 32
 SKETCH_BITS = 512
 SIFT = 0.54                  # least estimated similarity that goes to the exact comparison, for 0.8
-BLOCK = 1024                 # members of a bucket compared with another such block in one task
+BLOCK = 1024                 # members of a bucket whose sketches are compared with another such block in one task
+TOGETHER = 64                # members whose shingle sets are held against one at once
+BLOCK_BYTES = 2 << 20        # text, about, that is compared with as much in one task
 
 _SEEDS = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * _A) | np.uint64(1)
 
@@ -160,42 +163,104 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
+def _linked_all(x: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether each of the sorted, non-empty sets is linked with ``x``."""
+    if not others:
+        return np.zeros(0, dtype=bool)
+    size = np.array([len(y) for y in others])
+    every = np.concatenate(others)
+    same = x[np.minimum(np.searchsorted(x, every), len(x) - 1)] == every
+    both = np.add.reduceat(same.astype(np.int64), np.cumsum(size) - size)
+    return 100 * both >= percent * (len(x) + size - both)
+
+
 def _popcounts(x: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.bitwise_count(others ^ x).sum(axis=1)
 
 
+def _differing(sift: float) -> float:
+    """Bits in which two sketches differ at the least estimated similarity."""
+    return SKETCH_BITS / 2 * (1 - np.exp(-(1 - sift) * 2 * ROWS * BANDS * 2 / SKETCH_BITS))
+
+
+def _partners(table: pa.Table, percent: int, sift: float):
+    """For every member of a pair of blocks, those after it that it may be linked with: another component, like size, near sketch."""
+    comp, side, size = (table[c].to_numpy() for c in ("component", "side", "n_shingles"))
+    sketch = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(comp), -1)
+    most, within = _differing(sift), bool((side == 2).any())
+    other = np.flatnonzero(side == 1)
+    for i in np.flatnonzero(side != 1):
+        rest = np.arange(i + 1, len(comp)) if within else other
+        rest = rest[(100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i])) & (comp[rest] != comp[i])]
+        odd = _popcounts(sketch[i], sketch[rest])
+        near = odd <= most
+        yield i, rest[near][np.argsort(odd[near], kind="stable")]
+
+
+def _sifted(percent: int, sift: float):
+    """The members of a pair of blocks with a possible partner."""
+
+    def task(table: pa.Table) -> pa.Table:
+        hit = np.zeros(table.num_rows, dtype=bool)
+        for i, near in _partners(table, percent, sift):
+            hit[near] = True
+            hit[i] |= bool(len(near))
+        return table.select(["bucket", "doc_id"]).filter(pa.array(hit))
+
+    return task
+
+
 def _blocks(k: int, percent: int, sift: float):
     """Links between members of different components of one pair of blocks."""
-    most = SKETCH_BITS / 2 * (1 - np.exp(-(1 - sift) * 2 * ROWS * BANDS * 2 / SKETCH_BITS))   # differing bits at the sift
 
     def task(table: pa.Table) -> pa.Table:
+        node, band = table["doc_id"].to_numpy(), table["band"].to_numpy()
+        bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
         comp = table["component"].to_numpy().copy()
-        node, side = table["doc_id"].to_numpy(), table["side"].to_numpy()
-        sketch = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
         sets: list = []
         for batch in table.select(["text"]).combine_chunks().to_batches():
             for _, d, o in slices(batch):
                 s, p = shingle_sets(d, o, k)
                 sets.extend(s[p[i]:p[i + 1]] for i in range(len(o) - 1))
         found: list[tuple[int, int]] = []
-        one_block = bool((side == 2).any())
-        for i in np.flatnonzero(side != 1):
-            rest = np.arange(i + 1, len(node)) if one_block else np.flatnonzero(side == 1)
-            rest = rest[comp[rest] != comp[i]]
-            if not len(rest):
-                continue
-            odd = _popcounts(sketch[i], sketch[rest])
-            near = odd <= most
-            for j in rest[near][np.argsort(odd[near], kind="stable")]:
-                if comp[j] != comp[i] and _linked(sets[i], sets[j], percent):
-                    found.append((node[i], node[j]))
-                    comp[comp == comp[j]] = comp[i]
+        for i, near in _partners(table, percent, sift):
+            near = near[np.argmax(bands[near] == bands[i], axis=1) == band[i]] if len(near) else near
+            for at in range(0, len(near), TOGETHER):
+                some = near[at:at + TOGETHER]
+                some = some[comp[some] != comp[i]]
+                for j in some[_linked_all(sets[i], [sets[j] for j in some], percent)]:
+                    if comp[j] != comp[i]:
+                        found.append((node[i], node[j]))
+                        comp[comp == comp[j]] = comp[i]
         a, b = (np.array([p[x] for p in found], dtype=np.int64) for x in (0, 1))
         return pa.table({"a": a, "b": b})
 
     return task
 
 
+def _dealt(members: DataFrame, blocks) -> DataFrame:
+    """Every member of block i once for each block j of its bucket: as side 0 with j > i, as side 1 with j < i, as side 2 (within) with itself."""
+    return (members.withColumn("i", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
+            .withColumns({"side": F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1),
+                          "i": F.least("i", "j"), "j": F.greatest("i", "j")}))
+
+
+def _open_links(ajar: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, percent: int, sift: float) -> DataFrame:
+    """Links within buckets of several components.  ``ajar``: bucket, band, n, doc_id, component."""
+    kept = ["bucket", "doc_id", "component", "side", "i", "j"]
+    tasks = int(ajar.sparkSession.conf.get("spark.sql.shuffle.partitions"))      # small rows, much work: not to be merged into a few tasks
+    met = (_dealt(ajar, F.ceil(F.col("n") / BLOCK)).select(*kept).join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
+           .repartition(tasks, "bucket", "i", "j").groupBy("bucket", "i", "j").applyInArrow(_sifted(percent, sift), "bucket bigint, doc_id bigint").distinct())
+    met = stored(ajar.join(met, ["bucket", "doc_id"]).select("bucket", "band", "doc_id", "component"), "odd-met")
+    wanted = texts.join(met.select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"])
+    wanted = stored(wanted.withColumn("bytes", F.octet_length("text")), "odd-met-texts")
+    blocks = (met.join(wanted.select("doc_id", "bytes"), "doc_id").groupBy("bucket")
+              .agg(F.greatest(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK)).alias("blocks")))
+    rows = (_dealt(met.join(blocks, "bucket"), F.col("blocks")).select(*kept, "band")
+            .join(reps.select("doc_id", "n_shingles", "sketch", "bands"), "doc_id").join(wanted.select("doc_id", "text"), "doc_id"))
+    return rows.repartition(tasks, "bucket", "i", "j").groupBy("bucket", "i", "j").applyInArrow(_blocks(shingle, percent, sift), "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (confirmed in the search) and kept for every row of ``docs``."""
     sift = SIFT - (0.8 - percent / 100)
@@ -204,14 +269,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     same = ["n_shingles", "s1", "s2"]
     classes = stored(full.groupBy(*same).agg(F.min("doc_id").alias("rep")), "odd-classes")
     reps = stored(full.join(classes, same).filter("doc_id = rep").dropDuplicates(["doc_id"])
-                  .select("doc_id", "sketch", "bands"), "odd-reps")
+                  .select("doc_id", "n_shingles", "sketch", "bands"), "odd-reps")
     cells = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     buckets = (cells.groupBy("band", "key")
                .agg(F.count("*").alias("n"), F.min("doc_id").alias("hub"), F.bit_xor(F.xxhash64("doc_id")).alias("x"),
                     F.sum(F.xxhash64(F.lit(5), F.col("doc_id")).cast("decimal(38,0)")).alias("s"))
                .filter("n > 1").groupBy("n", "hub", "x", "s").agg(F.min(F.struct("band", "key")).alias("cell"))
                .select("n", "hub", F.col("cell.band").alias("band"), F.col("cell.key").alias("key"), F.xxhash64("cell.band", "cell.key").alias("bucket")))
-    members = stored(cells.join(buckets, ["band", "key"]).select("bucket", "n", "hub", "doc_id"), "odd-members")
+    members = stored(cells.join(buckets, ["band", "key"]).select("bucket", "band", "n", "hub", "doc_id"), "odd-members")
 
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("bigint"), "text")
     degree = members.groupBy("doc_id").agg(F.sum("n").alias("degree"))
@@ -240,15 +305,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     placed = stored(placed, "odd-placed")
     ajar = stored(placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("bucket"), "odd-ajar")
     if ajar.take(1):
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        # member of block i meets blocks j: as side 0 with j > i, as side 1 with j < i, as side 2 (within) with itself
-        dealt = (placed.join(ajar, "bucket").withColumn("i", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
-                 .withColumn("j", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                 .select("bucket", "doc_id", "component", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"),
-                         F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1).alias("side")))
-        lone = texts.join(placed.join(ajar, "bucket").select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"])
-        full_rows = dealt.join(sk, "doc_id").join(lone, "doc_id")
-        more = full_rows.groupBy("bucket", "i", "j").applyInArrow(_blocks(shingle, percent, sift), "a bigint, b bigint")
+        more = _open_links(placed.join(ajar, "bucket"), reps, texts, shingle, percent, sift)
         links = stored(links.unionByName(more).distinct(), "odd-links")
         comp = stored(components(links), "odd-components") if links.take(1) else None
 
