@@ -18,7 +18,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 AS_OF = "2024-02-01 00:00:00"
 VOCAB = fixture.FIXTURE_VOCAB
-DASH_PARTNERS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "ghost-partner"]
 
 
 def query(name: str, oracle: str | None = None):

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeward.catalog.common import (DASH_PARTNERS, VOCAB, dedup, gold_daily, oracle, present, query,
+from lakeward.catalog.common import (VOCAB, dedup, gold_daily, oracle, present, query,
                                      silver, silver_table)
 from lakeward.operators import rollups, sets, steps
 from lakeward.sources import fixture
@@ -109,9 +109,9 @@ def completions_by_partner(spark, sf):
     return rollups.completions_by_partner(gold_daily(spark, sf))
 
 
-@query("dau_pivot", oracle("select metric_date, " + ", ".join(
-    f"cast(sum(case when partner_id = '{p}' then dau end) as bigint) as \"{p}\"" for p in DASH_PARTNERS)
-    + " from gold group by 1 order by 1"))
+@query("dau_pivot", oracle("""
+select * from (pivot (select metric_date, partner_id, dau from gold) on partner_id using cast(sum(dau) as bigint) group by metric_date) order by metric_date
+"""))
 def dau_pivot(spark, sf):
     """Date x partner DAU matrix."""
     gold = gold_daily(spark, sf)

@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeward.catalog.common import VOCAB, oracle, present, query, raw
+from lakeward.catalog.common import CTE, VOCAB, oracle, present, query, raw, silver
 from lakeward.catalog.core import GOLD_SQL
+from lakeward.plans import erasure
 from lakeward.session import workspace
+from lakeward.sinks import changes, writes
 from lakeward.sources import fixture
 from lakeward.streaming import jobs
 
@@ -211,3 +213,45 @@ def stream_silver_rollup(spark, sf):
     return present(g.select("partner_id", "metric_date", "dau", "total_sessions", "total_engagement_min",
                             "exercise_completions", "new_signups", "top_event_types"),
                    dbl_cols=["total_engagement_min"], arr_cols=["top_event_types"])
+
+
+CHANGED_GOLD_SQL = CTE.rstrip() + """,
+silver2 as (
+  select event_id, event_timestamp, user_id, session_id, duration_seconds, is_first_session,
+         case when cast(event_id as int) % 31 = 0 then 'moved-partner' else partner_id end as partner_id,
+         case when cast(event_id as int) % 37 = 0 then 'click' else event_type end as event_type
+  from silver where user_id is distinct from sha256('salt' || '7')
+),
+""" + CTE[CTE.index("gold as ("):].replace("gold as (", "gold2 as (").replace("from silver ", "from silver2 ") + """
+select partner_id, metric_date, dau, total_sessions, round(total_engagement_min, 6) as total_engagement_min, exercise_completions,
+       new_signups, array_to_string(top_event_types, ',') as top_event_types from gold2
+"""
+
+
+@query("stream_changes", CHANGED_GOLD_SQL)
+def stream_changes(spark, sf):
+    """The dashboard follows silver's change log over four loads: the first rows; updates that move events to another partner
+    and change event types; the same updates again under the same commit; the erasure of a user."""
+    root = workspace(spark, "stream_changes")
+    path, log = f"{root}/silver", f"{root}/changes"
+    cols = [c.split()[0] for c in jobs.SILVER_DDL.split(", ")]
+    rows = silver(spark, sf).withColumn("event_date", F.to_date("event_timestamp")).select(*cols)
+    number = F.col("event_id").cast("int")
+    edits = rows.where((number % 31 == 0) | (number % 37 == 0)).withColumns({
+        "partner_id": F.when(number % 31 == 0, F.lit("moved-partner")).otherwise(F.col("partner_id")),
+        "event_type": F.when(number % 37 == 0, F.lit("click")).otherwise(F.col("event_type"))})
+
+    def merge(batch, commit):
+        writes.upsert(spark, path, batch, ["event_id"], ["event_date"], schema=jobs.SILVER_DDL, fixed=["event_date"], log=changes.ChangeLog(log, commit))
+
+    def erase(commit):
+        keys = erasure.subjects(spark, spark.createDataFrame([("7",)], "id string"), "id", fixture.SALT)
+        target = erasure.Target("silver", path, "user_id", ("event_date",), jobs.SILVER_DDL)
+        erasure.erase_subjects(spark, [target], keys, f"{root}/audit", "2024-02-01 00:00:00", logs={"silver": changes.ChangeLog(log, commit)})
+
+    for load in (lambda: merge(rows, "load-1"), lambda: merge(edits, "load-2"), lambda: merge(edits, "load-2"), lambda: erase("erase-1")):
+        load()
+        gold = jobs.rollup_from_changes(spark, log, path, root, f"{root}/_ckpt/changes", VOCAB)
+    g = spark.read.schema(jobs.GOLD_DDL).parquet(gold)
+    return present(g.select("partner_id", "metric_date", "dau", "total_sessions", "total_engagement_min", "exercise_completions",
+                            "new_signups", "top_event_types"), dbl_cols=["total_engagement_min"], arr_cols=["top_event_types"])

@@ -15,7 +15,7 @@ from lakeward.plans import backfill as backfill_plan
 from lakeward.plans import erasure, evolution, parity
 from lakeward.plans.runner import run_product
 from lakeward.session import workspace
-from lakeward.sinks import writes
+from lakeward.sinks import changes, writes
 from lakeward.sources import fixture
 
 SILVER_DDL = ("event_id string, event_timestamp timestamp, ingest_timestamp timestamp, user_id string, "
@@ -161,6 +161,99 @@ def backfill(spark, sf):
                    ts_cols=["event_timestamp"])
 
 
+FAR_COPY_SQL = """
+with_far as (
+  select *, 0 as far from raw
+  union all
+  select event_id, event_timestamp, ingest_timestamp + interval 10 day, user_id, partner_id, 'error' as event_type, session_id,
+         duration_seconds, is_first_session, 2 as copy, 1 as far from base where cast(event_id as int) % 53 = 0
+  union all
+  select event_id, event_timestamp, ingest_timestamp + interval 1 hour, user_id, partner_id, 'view' as event_type, session_id,
+         duration_seconds, is_first_session, 3 as copy, 1 as far from base where cast(event_id as int) % 59 = 0
+),
+survivors as (
+  select * from (select *, row_number() over (partition by event_id order by ingest_timestamp desc) as nth from with_far) x where nth = 1
+)
+"""
+
+
+def _with_far_copies(spark, sf):
+    """The raw deliveries, some of them delivered once more an hour or 10 days (past the lateness bound) later with another type."""
+    every = raw(spark, sf)
+    first = every.where("copy = 0")
+    number = F.col("event_id").cast("int")
+    far = first.where(number % 53 == 0).withColumns({"ingest_timestamp": F.expr("ingest_timestamp + interval 10 days"), "event_type": F.lit("error"), "copy": F.lit(2)})
+    hour = first.where(number % 59 == 0).withColumns({"ingest_timestamp": F.expr("ingest_timestamp + interval 1 hour"), "event_type": F.lit("view"), "copy": F.lit(3)})
+    return every, far.unionByName(hour)
+
+
+def _with_failure_policy(policy):
+    spec = products.ENGAGEMENT_EVENTS
+    return load_product({**spec, "quality": {**spec["quality"], "on_failure": policy}})
+
+
+@query("backfill_write", oracle("").rstrip() + "," + FAR_COPY_SQL + f"""
+select {SILVER_ROWS_SQL} from (
+  select event_id, event_timestamp, sha256('salt' || user_id) as user_id, partner_id, event_type from survivors
+  where event_timestamp >= ingest_timestamp - interval '7' day
+    and cast(event_timestamp as date) >= date '2024-01-10' and cast(event_timestamp as date) < date '2024-01-15'
+  union all
+  select event_id, event_timestamp, user_id, partner_id, event_type from silver
+  where not (cast(event_timestamp as date) >= date '2024-01-10' and cast(event_timestamp as date) < date '2024-01-15'))
+""")
+def backfill_write(spark, sf):
+    """V9: 2024-01-10..14 of the written silver table brought to what a full run gives once later copies (an hour and 10 days
+    after the first) are in bronze; other days stay as they were.  Done twice under one commit: the second changes nothing."""
+    root = workspace(spark, "backfill_write")
+    target, bronze = _write_silver(spark, sf, root), f"{root}/bronze/engagement_events"
+    first, later = _with_far_copies(spark, sf)
+    writes.write_table(first.unionByName(later).withColumn("ingest_date", F.to_date("ingest_timestamp")), bronze, ["ingest_date"])
+    p = products.product("engagement_events")
+    for _ in range(2):
+        backfill_plan.backfill_table(spark, p, bronze, target, "2024-01-10", "2024-01-15", fixture.SALT, schema=BRONZE_DDL,
+                                     target_schema=SILVER_DDL, log=changes.ChangeLog(f"{root}/changes", "backfill-1"))
+    back = spark.read.schema(SILVER_DDL).parquet(target)
+    return present(back.select("event_id", "event_timestamp", "user_id", "partner_id", "event_type", "event_date"), ts_cols=["event_timestamp"])
+
+
+@query("two_run_silver", oracle("").rstrip() + "," + FAR_COPY_SQL + f"""
+select {SILVER_ROWS_SQL} from (
+  select event_id, event_timestamp, sha256('salt' || user_id) as user_id, partner_id, event_type from (
+    select *, row_number() over (partition by event_id order by ingest_timestamp desc) as n from with_far
+    where event_timestamp >= ingest_timestamp - interval '7' day) x where n = 1)
+""")
+def two_run_silver(spark, sf):
+    """K2: silver after two runs that came in the wrong order, the later copies first: the older copies of the second run
+    never replace newer rows."""
+    root = workspace(spark, "two_run_silver")
+    first, later = _with_far_copies(spark, sf)
+    p = _with_failure_policy("warn")
+    refs = {"silver.partners": fixture.partners(spark, sf)}
+    for n, part in enumerate((later.where(fixture.late_predicate()), first.where(fixture.late_predicate()))):
+        run_product(spark, p, part, root, fixture.SALT, "ingest_timestamp", refs=refs, run_id=f"run{n}")
+    back = spark.read.schema(SILVER_DDL).parquet(f"{root}/silver/engagement_events")
+    return present(back.select("event_id", "event_timestamp", "user_id", "partner_id", "event_type", "event_date"), ts_cols=["event_timestamp"])
+
+
+@query("replayed_run", oracle("""
+select 'bronze' as place, (select count(*) from raw) as rows union all select 'silver', (select count(*) from silver)
+union all select 'quarantine', (select count(*) from late) union all select 'runs', 1
+"""))
+def replayed_run(spark, sf):
+    """Rows of every place a run writes to after the same run was tried twice."""
+    root = workspace(spark, "replayed_run")
+    refs = {"silver.partners": fixture.partners(spark, sf)}
+    for _ in range(2):
+        run_product(spark, _with_failure_policy("warn"), raw(spark, sf), root, fixture.SALT, "ingest_timestamp", refs=refs, run_id="run-1")
+    places = {"bronze": f"{root}/bronze/engagement_events", "silver": f"{root}/silver/engagement_events",
+              "quarantine": f"{root}/quarantine", "runs": f"{root}/_runs"}
+    out = None
+    for place, path in places.items():
+        one = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(place).alias("place"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("run_history", oracle("""
 select 'engagement_events' as contract, '1.2.0' as version, s.status, (select count(*) from raw) as rows_in,
        (select count(*) from silver) as rows_out, (select count(*) from late) as rows_rejected,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lakeward.functions.expressions import pseudonym
 from lakeward.operators import joins
-from lakeward.sinks import writes
+from lakeward.sinks import changes, writes
 
 AUDIT_SCHEMA = ("request_id string, subject string, table_name string, rows_erased bigint, "
                 "executed boolean, requested_at timestamp")
@@ -121,9 +121,10 @@ def erase_preview(spark: SparkSession, targets: list[Target], keys: DataFrame) -
 
 def erase_subjects(spark: SparkSession, targets: list[Target], keys: DataFrame, audit_path: str,
                    as_of: str, dry_run: bool = False, request_id: str | None = None,
-                   rollups: dict | None = None) -> dict:
+                   rollups: dict | None = None, logs: dict | None = None) -> dict:
     """V2: erase the subjects from every target; returns rows erased per
-    table.  ``rollups`` maps a target's table name to the ``Rollup`` tables
+    table.  ``logs`` maps a target's table name to the ``ChangeLog`` that gets its deletes;
+    the log keeps the images of erased rows, so it is a target of its own once its readers have gone past them.  ``rollups`` maps a target's table name to the ``Rollup`` tables
     derived from it: their keys touched by the erased rows are recomputed
     from the erased source (keys left without rows disappear)."""
     request_id = request_id or uuid.uuid4().hex[:12]
@@ -143,6 +144,9 @@ def erase_subjects(spark: SparkSession, targets: list[Target], keys: DataFrame,
         per_subject += [(request_id, r["subject"], t.table, r["rows_erased"], not dry_run) for r in rows]
         if dry_run or n == 0:
             continue
+        log = (logs or {}).get(t.table)
+        if log is not None:
+            log.record(changes.deletes(hits))
         derived = (rollups or {}).get(t.table, [])
         touched_keys = {}
         for r in derived:     # keys of the derived rows the erased rows fed (stored before the rewrite)
@@ -158,6 +162,8 @@ def erase_subjects(spark: SparkSession, targets: list[Target], keys: DataFrame,
             writes.replace_table(spark, _survivors(df, t, keys), t.path)
         if _hits(_read(spark, t), t, keys).take(1):         # the audit must not say erased while rows are left
             raise writes.MoveError(f"{t.table} still holds rows of request {request_id}")
+        if log is not None:
+            log.publish(spark)
         for r in derived:
             src = spark.read.schema(t.schema).parquet(t.path) if t.schema else spark.read.parquet(t.path)
             tk = touched_keys[r.path]

@@ -60,7 +60,8 @@ def run_flow(spark: SparkSession, raw: DataFrame, root: str, salt: str, as_of: s
              refs: dict | None = None, on_failure: str | None = None) -> FlowResult:
     eng, dash, jour = flow_products(vocab, on_failure)
     r1 = run_product(spark, eng, raw, root, salt, "ingest_timestamp", "silver", refs)
-    silver = spark.read.parquet(r1.outputs["target"]).drop("event_date")
+    # the contract's types: folder names alone would turn the partner 007 into a number
+    silver = spark.read.schema(f"{eng.ddl()}, event_date date").parquet(r1.outputs["target"]).drop("event_date")
     r2 = run_product(spark, dash, silver, root, salt, as_of, "gold", refs)
     r3 = run_product(spark, jour, silver, root, salt, as_of, "gold", refs)
     return FlowResult(r1, r2, r3)

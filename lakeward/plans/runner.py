@@ -97,7 +97,9 @@ def _shape(df: DataFrame, product: Product, partition_by: tuple) -> DataFrame:
 def run_product(spark: SparkSession, product: Product, source: DataFrame, root: str, salt: str,
                 as_of: str, tier: str = "silver", refs: dict | None = None, run_id: str | None = None,
                 raise_on_block: bool = True) -> RunResult:
-    """Run one product into ``root/<tier>/<name>`` and append to ``root/_runs``."""
+    """Run one product into ``root/<tier>/<name>`` and append to ``root/_runs``.
+    A run tried again under its ``run_id`` with the same input replaces what it left before:
+    its bronze files, its quarantine partition and its row of the run history."""
     run_id = run_id or uuid.uuid4().hex[:12]
     t = product.tier(tier)
     part = tuple(t.partition_by)
@@ -154,21 +156,27 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
     status = "blocked" if blocking else "written"
     if not blocking:
         # rows of earlier runs stay: by the merge keys, else by the idempotency key of the dedup step
-        keys = merge.get("keys") or next((list(st.params["keys"]) for st in product.steps if st.type == "deduplicate"), [])
+        dedup = next((st.params for st in product.steps if st.type == "deduplicate"), {})
+        keys = merge.get("keys") or list(dedup.get("keys", []))
         if keys and writes.exists(spark, target):
-            writes.upsert(spark, target, staged_df, keys, part, fmt=t.format, cluster_by=t.z_order_by)
+            # a copy that comes in a later run wins only if the dedup step would have kept it
+            order = [] if merge.get("keys") else [(dedup.get("keep") or {}).get("latest_by") or "ingest_timestamp"]
+            writes.upsert(spark, target, staged_df, keys, part, fmt=t.format, cluster_by=t.z_order_by,
+                          latest_by=[c for c in order if c in out.columns], fixed=dedup.get("fixed", []))
             writes.discard(spark, staged)
         else:
             writes.promote(spark, staged, target)
 
     if bronze.enabled:
-        writes.append_by_rename(spark, b_staged, f"{root}/bronze/{product.name}")
+        writes.append_by_rename(spark, b_staged, f"{root}/bronze/{product.name}", tag=f"run-{run_id}")
 
     failed = [f"{r['rule']}[{r['column']}]" for r in report if not r["passed"]]
     runs = spark.createDataFrame(
         [(run_id, product.name, product.version, None, status, rows_in, rows_out, rows_rej,
           counts, failed)], RUNS_SCHEMA).withColumn("as_of", F.try_to_timestamp(F.lit(as_of)))
-    runs.write.mode("append").parquet(f"{root}/_runs")
+    record = f"{root}/_staging/runs/{product.name}-{run_id}"
+    runs.write.mode("overwrite").parquet(record)
+    writes.append_by_rename(spark, record, f"{root}/_runs", tag=f"{product.name}-{run_id}")    # one row a run, however often it is tried
     result = RunResult(run_id, status, rows_out, rows_rej, counts, report,
                        {"target": target, "staged": staged, "quarantine": q_root, "runs": f"{root}/_runs"})
     if blocking and raise_on_block:

@@ -198,19 +198,29 @@ def _without_keys(df: DataFrame, gone: DataFrame, keys: list[str], how: str = "l
     return df.join(other, same, how)
 
 
-def append_by_rename(spark: SparkSession, staged: str, target: str) -> int:
+def append_by_rename(spark: SparkSession, staged: str, target: str, tag: str | None = None) -> int:
     """Append a staged (partitioned) table to ``target`` by moving its data
     files into the matching partition folders.  File names are unique per
-    write, so nothing is overwritten; returns the number of files moved."""
+    write, so nothing is overwritten; returns the number of files moved.
+    With a ``tag`` the files bear its name, and those an earlier append of the same
+    tag left in these folders are replaced: a repeated append is the same as one."""
     fs, src_root = _fs(spark, staged)
+    prefix = f"{tag}--" if tag else ""
+    cleared = set()
     root = fs.makeQualified(src_root).toUri().getPath().rstrip("/")     # listings are qualified, arguments need not be
     moved = 0
     for path in _data_files(fs, src_root):
         rel = fs.makeQualified(path).toUri().getPath()
         if not rel.startswith(root + "/"):
             raise MoveError(f"{path} is not below {root}")
-        dst = _path(spark, f"{target.rstrip('/')}/{rel[len(root) + 1:]}")
+        folder, _, name = rel[len(root) + 1:].rpartition("/")
+        dst = _path(spark, "/".join(x for x in (target.rstrip("/"), folder, prefix + name) if x))
         fs.mkdirs(dst.getParent())
+        if tag and folder not in cleared:
+            cleared.add(folder)
+            for old in fs.listStatus(dst.getParent()):
+                if old.isFile() and old.getPath().getName().startswith(prefix):
+                    _remove(fs, old.getPath())
         _move(fs, path, dst)
         moved += 1
     _remove(fs, src_root)
@@ -238,9 +248,28 @@ def _stored_schema(spark: SparkSession, target: str, updates: DataFrame, partiti
     return T.StructType([updates.schema[f.name] if f.name in partition_by and f.name in updates.columns else f for f in found])
 
 
+def newest(updates: DataFrame, current: DataFrame, keys: list[str], latest_by: list[str]) -> DataFrame:
+    """Updates that are not older than the stored row of their key, by the order of ``latest_by`` (NULL is oldest; equal: the update counts)."""
+    stored = current.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.struct(*latest_by).alias("__version"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    older = (F.col("__version") > F.struct(*latest_by)) if latest_by else F.lit(False)
+    return updates.join(stored.where(F.col("__version").isNotNull()), same & older, "left_anti")
+
+
+def _of_values(df: DataFrame, updates: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows whose partition columns ``columns`` have values that the updates have: prunes the listing."""
+    for c in columns:
+        values = [v[0] for v in _partitions_of(updates, [c])]
+        keep = F.col(c).isin([v for v in values if v is not None])
+        df = df.where(keep | F.col(c).isNull() if None in values else keep)
+    return df
+
+
 def upsert(spark: SparkSession, target: str, updates: DataFrame, keys: list[str],
            partition_by: list[str] | tuple = (), schema: str | None = None, fmt: str = "parquet",
-           cluster_by: list[str] | tuple = ()) -> None:
+           cluster_by: list[str] | tuple = (), latest_by: list[str] | tuple = (), fixed: list[str] | tuple = (), log=None) -> None:
     """MERGE (update all, insert all) on Parquet.
 
     The updates are staged once and worked on from there.  Only the
@@ -248,39 +277,66 @@ def upsert(spark: SparkSession, target: str, updates: DataFrame, keys: list[str]
     partition columns are part of the keys, those that hold the keys now (a key
     whose partition changes moves).  NULL equals NULL in keys.  Updates with
     duplicate keys are refused.  Applying the same batch twice gives the same
-    table as applying it once."""
-    partition_by = list(partition_by)
+    table as applying it once.
+
+    ``latest_by``: an update older than the stored row of its key is left out, so
+    runs may come in any order.  ``fixed``: partition columns that a key never
+    changes; only partitions of the updates' values are then searched for the
+    keys.  ``log``: a ``ChangeLog`` that gets the images of changed rows; a commit it
+    holds already is not written again."""
+    from lakeward.sinks import changes
+
+    partition_by, keys = list(partition_by), list(keys)
+    if log is not None and log.done(spark):
+        return
     held = f"{target.rstrip('/')}__updates_{uuid.uuid4().hex[:8]}"
     updates.write.parquet(held)
     updates = spark.read.schema(updates.schema).parquet(held)
+    fresh = f"{held}_newest"
     try:
         if duplicate_keys(updates, keys):
             raise UpsertError(f"updates hold duplicate keys on {keys}")
         if not exists(spark, target):
+            if log is not None:
+                log.record(changes.images(updates.limit(0), updates, keys))
             write_table(updates, target, partition_by, fmt, "overwrite", cluster_by)
-            return
+            return log.publish(spark) if log is not None else None
         current = spark.read.format(fmt).schema(schema or _stored_schema(spark, target, updates, partition_by, fmt)).load(target)
-        if not partition_by:
-            merged = _without_keys(current, updates, keys).unionByName(updates.select(*current.columns))
-            replace_table(spark, merged, target, fmt, cluster_by)
-            return
-        touched = _partitions_of(updates, partition_by)
-        if not set(partition_by) <= set(keys):
-            before = _partitions_of(_without_keys(current, updates, keys, "left_semi"), partition_by)
+        updates = updates.select(*current.columns)
+        known = _of_values(current, updates, [c for c in partition_by if c in fixed])
+        if latest_by:
+            newest(updates, known, keys, list(latest_by)).write.parquet(fresh)
+            updates = spark.read.schema(updates.schema).parquet(fresh)
+        touched = _partitions_of(updates, partition_by) if partition_by else []
+        if partition_by and not set(partition_by) <= set(keys):
+            before = _partitions_of(_without_keys(known, updates, keys, "left_semi"), partition_by)
             touched = sorted({*touched, *before}, key=str)
-        merged = _without_keys(_in_partitions(current, partition_by, touched), updates, keys).unionByName(updates.select(*current.columns))
-        replace_partitions(spark, merged, target, partition_by, touched, fmt, cluster_by)
+        scope = _in_partitions(current, partition_by, touched) if partition_by else current
+        if log is not None:
+            log.record(changes.images(_without_keys(scope, updates, keys, "left_semi"), updates, keys))
+        merged = _without_keys(scope, updates, keys).unionByName(updates)
+        if partition_by:
+            replace_partitions(spark, merged, target, partition_by, touched, fmt, cluster_by)
+        else:
+            replace_table(spark, merged, target, fmt, cluster_by)
+        if log is not None:
+            log.publish(spark)
     finally:
-        _remove(*_fs(spark, held))
+        for path in (held, fresh):
+            _remove(*_fs(spark, path))
 
 
 def replace_keys(spark: SparkSession, target: str, fresh: DataFrame, touched_keys: DataFrame, keys: list[str],
-                 partition_by: list[str], schema: str | None = None, fmt: str = "parquet") -> None:
+                 partition_by: list[str], schema: str | None = None, fmt: str = "parquet", log=None) -> None:
     """Recompute a keyed table for a set of keys: every touched key is
     removed and ``fresh`` (the recomputed rows; a key without rows there
     disappears) is put in.  Only partitions holding a touched key are
     rewritten.  ``upsert`` is the case where the touched keys are the keys of
-    ``fresh``."""
+    ``fresh``.  ``log``: as for ``upsert``."""
+    from lakeward.sinks import changes
+
+    if log is not None and log.done(spark):
+        return
     if duplicate_keys(fresh, keys):
         raise UpsertError(f"fresh rows hold duplicate keys on {keys}")
     reader = spark.read.format(fmt)
@@ -288,8 +344,12 @@ def replace_keys(spark: SparkSession, target: str, fresh: DataFrame, touched_key
         reader = reader.schema(schema)
     current = reader.load(target)
     touched = sorted({*_partitions_of(touched_keys, partition_by), *_partitions_of(fresh, partition_by)}, key=str)
-    kept = _without_keys(_in_partitions(current, partition_by, touched), touched_keys, keys)
-    replace_partitions(spark, kept.unionByName(fresh.select(*current.columns)), target, partition_by, touched, fmt)
+    scope, fresh = _in_partitions(current, partition_by, touched), fresh.select(*current.columns)
+    if log is not None:
+        log.record(changes.images(_without_keys(scope, touched_keys, keys, "left_semi"), fresh, keys))
+    replace_partitions(spark, _without_keys(scope, touched_keys, keys).unionByName(fresh), target, partition_by, touched, fmt)
+    if log is not None:
+        log.publish(spark)
 
 
 # -- quarantine, retention, serving ---------------------------------------------------------
@@ -297,12 +357,13 @@ def replace_keys(spark: SparkSession, target: str, fresh: DataFrame, touched_key
 def append_quarantine(rejected: DataFrame, root: str, contract: str, step: str, run_id: str,
                       as_of: str) -> str:
     """K4: append rejected rows with reason, contract, step, run and as-of;
-    one partition per (contract, step, run) so a run never clears another."""
+    one partition per (contract, step, run) so a run never clears another and
+    a run tried again replaces its own rows."""
     at = F.col(as_of) if as_of in rejected.columns else F.lit(as_of).cast("timestamp")
     out = (rejected.withColumn("__quarantine_at", at)
                    .withColumn("contract", F.lit(contract)).withColumn("step", F.lit(step))
                    .withColumn("run_id", F.lit(run_id)))
-    out.write.mode("append").partitionBy("contract", "step", "run_id").parquet(root)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("contract", "step", "run_id").parquet(root)
     return root
 
 
