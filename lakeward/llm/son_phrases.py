@@ -201,30 +201,40 @@ _COUNT = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int
 
 
 class Strings:
-    """Counted phrases of a task, each with its text once: parallel arrays ordered by gram, and the texts in one buffer."""
+    """Counted phrases of a task, each with its text once: parallel arrays ordered by gram, and the texts appended to one buffer."""
 
     def __init__(self):
         self.gram, self.lang, self.k, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int64)
-        self.text, self.at, self.size = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.text, self.at, self.size = bytearray(), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def add(self, gram: np.ndarray, lang: np.ndarray, k: np.ndarray, n: np.ndarray, text: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
-        gram, first, back = np.unique(np.concatenate([self.gram, gram]), return_index=True, return_inverse=True)
-        self.n = np.bincount(back, np.concatenate([self.n, n]), len(gram)).astype(np.int64)
-        self.lang, self.k = np.concatenate([self.lang, lang])[first], np.concatenate([self.k, k])[first]
-        at, self.size = np.concatenate([self.at, at + len(self.text)])[first], np.concatenate([self.size, size])[first]
-        bound = np.cumsum(self.size)
-        text = np.concatenate([self.text, text])
-        self.at = bound - self.size
-        self.text = text[np.arange(bound[-1] if len(bound) else 0) + np.repeat(at - self.at, self.size)]
-        self.gram = gram
+        """Distinct grams in order with their counts; the texts stand in ``text``."""
+        place = np.searchsorted(self.gram, gram)
+        known = np.zeros(len(gram), dtype=bool)
+        inside = place < len(self.gram)
+        known[inside] = self.gram[place[inside]] == gram[inside]
+        self.n[place[known]] += n[known]
+        new = ~known
+        at, size = at[new], size[new].astype(np.int32)
+        bound = np.cumsum(size, dtype=np.int64)
+        own = text[np.arange(bound[-1] if len(bound) else 0) + np.repeat(at - (bound - size), size)]
+        where = place[new]
+        self.at = np.insert(self.at, where, len(self.text) + bound - size)
+        self.text += own.tobytes()
+        self.size, self.gram, self.n = np.insert(self.size, where, size), np.insert(self.gram, where, gram[new]), np.insert(self.n, where, n[new])
+        self.lang, self.k = np.insert(self.lang, where, lang[new]), np.insert(self.k, where, k[new])
 
     def batches(self, names: list[str]) -> Iterator[pa.RecordBatch]:
         lang = pa.array(names, pa.string())
-        bound = np.append(self.at, len(self.text))
-        texts = pa.Array.from_buffers(pa.large_string(), len(self.gram), [None, pa.py_buffer(bound), pa.py_buffer(self.text)])
+        text = np.frombuffer(self.text, dtype=np.uint8)
         for at in range(0, len(self.gram), 1 << 16):
             part = slice(at, at + (1 << 16))
-            yield pa.RecordBatch.from_arrays([lang.take(pa.array(self.lang[part])), texts[part].cast(pa.string()), pa.array(self.k[part]), pa.array(self.n[part])], schema=_COUNT)
+            size = self.size[part].astype(np.int64)
+            bound = np.zeros(len(size) + 1, dtype=np.int64)
+            np.cumsum(size, out=bound[1:])
+            own = text[np.arange(bound[-1]) + np.repeat(self.at[part] - bound[:-1], size)]
+            texts = pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(bound), pa.py_buffer(own)]).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([lang.take(pa.array(self.lang[part])), texts, pa.array(self.k[part]), pa.array(self.n[part])], schema=_COUNT)
 
 
 def _global(bits: np.ndarray):
