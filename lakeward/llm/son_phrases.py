@@ -7,16 +7,19 @@ A phrase that occurs ``support`` times in a language occurs, in at least one sha
    words, pairs of frequent words, then runs of three and four whose pairs are all frequent.
    Shards are keys, not tasks: each level is one aggregation over (lang, shard, phrase), so a shard of any size is
    spread over all executors, and repeats are counted within tasks before they are shuffled.
-2. The phrases frequent in some shard are united, and one pass counts all of them in all shards exactly, as strings.
+2. The phrases frequent in some shard are united.  A shard that found a phrase frequent has counted all its occurrences,
+   so a phrase found in every shard is counted already; the others, where what the other shards can still hold
+   could bring them to the support, are counted again in all shards.  Both give exact counts, and the support decides.
+3. Every count carries the smallest key of the documents that hold the phrase; those documents give the frequent phrases' texts.
 
-What a level found frequent reaches the next pass as a bloom filter of fixed size.  A false positive only
-costs a count; it changes no result, since the last pass counts whole strings and the support decides.
+What a step found reaches the next pass as bloom filters of fixed size.  A false positive only costs a
+count or a text that a join then drops.
 Fewer shards mean a higher local support and less to shuffle; beyond ``support`` shards the local support is 1 and prunes nothing.
 
 Scores, cuts and the removal of contained phrases are joins and aggregates over the frequent phrases; products are decimals.
 
 Defined cases: a null lang is ``und``; a null or empty text has no words; null doc_ids and repeated rows count like any row; extra columns are
-ignored; an empty table gives an empty result.  In the local levels a phrase stands for its 64-bit hash, which can only add candidates.
+ignored; an empty table gives an empty result.  While it is counted a phrase stands for its 64-bit hash.
 """
 
 from __future__ import annotations
@@ -119,11 +122,20 @@ def _lang_hash(lang: pa.Array, known: dict[str, int]) -> np.ndarray:
     return np.array([known[x] for x in names.dictionary.to_pylist()], dtype=np.uint64)[names.indices.to_numpy()]
 
 
-_LOCAL = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("gram", pa.int64()), ("n", pa.int64())])
+_LOCAL = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("gram", pa.int64()), ("n", pa.int64()), ("key", pa.int64())])
+_LOCAL_DDL = "lang string, shard int, gram bigint, n bigint, key bigint"
 
 
 def _levels(run: Run, shard: np.ndarray, level: int, bits: np.ndarray | None) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Grams to be counted at a level, with their first words: words, pairs of frequent words, or runs of frequent pairs."""
+    """Grams to be counted at a level, with their first words: words, pairs of frequent words, runs of frequent pairs; at level 0 all that the filter holds."""
+    if level == 0:
+        out = []
+        for k in range(1, LONGEST + 1):
+            keep = _holds(bits, run.grams[-1], None)
+            out.append((run.grams[-1][keep], run.at[-1][keep]))
+            if k < LONGEST:
+                run.longer(slice(None))
+        return out
     if level == 1:
         return [(run.grams[0], run.at[0])]
     own = shard[run.doc]
@@ -145,36 +157,36 @@ def _levels(run: Run, shard: np.ndarray, level: int, bits: np.ndarray | None) ->
 
 
 def _local(level: int, bits: np.ndarray | None):
-    """Counts of a level's grams within a task: (lang, shard, gram, n), a gram's rows merged as far as a bounded table reaches."""
+    """Counts of a level's grams within a task: (lang, shard, gram, n, key), a gram's rows merged as far as a bounded table reaches."""
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         names: list[str] = []
         place: dict[str, int] = {}
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []      # gram, group (language and shard), count
+        held: list[tuple[np.ndarray, ...]] = []                         # gram, group (language and shard), count, document key
 
         def merged():
-            gram, group, n = (np.concatenate([h[i] for h in held]) for i in range(3))
+            gram, group, n, key = (np.concatenate([h[i] for h in held]) for i in range(4))
             order = np.lexsort((gram, group))
-            gram, group, n = gram[order], group[order], n[order]
+            gram, group, n, key = gram[order], group[order], n[order], key[order]
             new = np.ones(len(gram), dtype=bool)
             new[1:] = (gram[1:] != gram[:-1]) | (group[1:] != group[:-1])
             head = np.flatnonzero(new)
-            held[:] = [(gram[head], group[head], np.add.reduceat(n, head) if len(head) else n)]
+            held[:] = [(gram[head], group[head], np.add.reduceat(n, head), np.minimum.reduceat(key, head)) if len(head) else (gram, group, n, key)]
 
         def sent():
-            gram, group, n = held.pop()
+            gram, group, n, key = held.pop()
             dictionary = pa.DictionaryArray.from_arrays(pa.array((group // SHARDS).astype(np.int32)), pa.array(names, pa.string())).cast(pa.string())
             for at in range(0, len(gram), 1 << 16):
                 part = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_arrays([dictionary[part], pa.array((group[part] % SHARDS).astype(np.int32)), pa.array(signed(gram[part])), pa.array(n[part])], schema=_LOCAL)
+                yield pa.RecordBatch.from_arrays([dictionary[part], pa.array((group[part] % SHARDS).astype(np.int32)), pa.array(signed(gram[part])), pa.array(n[part]), pa.array(key[part])], schema=_LOCAL)
 
         waiting = 0
         for batch in it:
             for rows, data, off in slices(batch):
                 lang = rows.column(0)
                 run = Run(data, off, _lang_hash(lang, known))
-                shard = rows.column(1).to_numpy(zero_copy_only=False)
+                shard, keys = rows.column(1).to_numpy(zero_copy_only=False), rows.column(2).to_numpy(zero_copy_only=False)
                 for name in lang.unique().to_pylist():
                     if name not in place:
                         place[name] = len(names)
@@ -182,7 +194,7 @@ def _local(level: int, bits: np.ndarray | None):
                 codes = lang.dictionary_encode()
                 doc_group = np.array([place[x] for x in codes.dictionary.to_pylist()], dtype=np.int64)[codes.indices.to_numpy()] * SHARDS + shard
                 for gram, at in _levels(run, shard, level, bits):
-                    held.append((gram, doc_group[run.doc[at]], np.ones(len(gram), dtype=np.int64)))
+                    held.append((gram, doc_group[run.doc[at]], np.ones(len(gram), dtype=np.int64), keys[run.doc[at]]))
                     waiting += len(gram)
                 if waiting > HELD:
                     merged()
@@ -197,85 +209,45 @@ def _local(level: int, bits: np.ndarray | None):
     return task
 
 
-_COUNT = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("n", pa.int64())])
-
-
-class Strings:
-    """Counted phrases of a task, each with its text once: parallel arrays ordered by gram, and the texts appended to one buffer."""
-
-    def __init__(self):
-        self.gram, self.lang, self.k, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int64)
-        self.text, self.at, self.size = bytearray(), np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def add(self, gram: np.ndarray, lang: np.ndarray, k: np.ndarray, n: np.ndarray, text: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
-        """Distinct grams in order with their counts; the texts stand in ``text``."""
-        place = np.searchsorted(self.gram, gram)
-        known = np.zeros(len(gram), dtype=bool)
-        inside = place < len(self.gram)
-        known[inside] = self.gram[place[inside]] == gram[inside]
-        self.n[place[known]] += n[known]
-        new = ~known
-        at, size = at[new], size[new].astype(np.int32)
-        bound = np.cumsum(size, dtype=np.int64)
-        own = text[np.arange(bound[-1] if len(bound) else 0) + np.repeat(at - (bound - size), size)]
-        where = place[new]
-        self.at = np.insert(self.at, where, len(self.text) + bound - size)
-        self.text += own.tobytes()
-        self.size, self.gram, self.n = np.insert(self.size, where, size), np.insert(self.gram, where, gram[new]), np.insert(self.n, where, n[new])
-        self.lang, self.k = np.insert(self.lang, where, lang[new]), np.insert(self.k, where, k[new])
-
-    def batches(self, names: list[str]) -> Iterator[pa.RecordBatch]:
-        lang = pa.array(names, pa.string())
-        text = np.frombuffer(self.text, dtype=np.uint8)
-        for at in range(0, len(self.gram), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            size = self.size[part].astype(np.int64)
-            bound = np.zeros(len(size) + 1, dtype=np.int64)
-            np.cumsum(size, out=bound[1:])
-            own = text[np.arange(bound[-1]) + np.repeat(self.at[part] - bound[:-1], size)]
-            texts = pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(bound), pa.py_buffer(own)]).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([lang.take(pa.array(self.lang[part])), texts, pa.array(self.k[part]), pa.array(self.n[part])], schema=_COUNT)
-
-
-def _global(bits: np.ndarray):
-    """Counts of all candidate phrases, as strings: (lang, phrase, k, n), a phrase's rows merged as far as a bounded table reaches."""
+_TEXT = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("phrase", pa.string()), ("k", pa.int32())])
+
+
+def _texts(owners: np.ndarray, owned: np.ndarray):
+    """(lang, gram, phrase, k) of the grams that a document owns; ``owners`` holds document keys, ``owned`` grams with their keys."""
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
-        place: dict[str, int] = {}
-        table = Strings()
         for batch in it:
-            for rows, data, off in slices(batch):
-                lang = rows.column(0).dictionary_encode()
+            own = _holds(owners, batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64), None)
+            for rows, data, off in slices(batch.filter(pa.array(own))):
                 run = Run(data, off, _lang_hash(rows.column(0), known))
-                code = np.array([place.setdefault(x, len(place)) for x in lang.dictionary.to_pylist()], dtype=np.int32)[lang.indices.to_numpy()]
+                key = rows.column(2).to_numpy(zero_copy_only=False)
                 text, word = run.spaced()
-                grams, firsts, lengths = [], [], []
                 for k in range(1, LONGEST + 1):
-                    keep = _holds(bits, run.grams[-1], None)
-                    grams.append(run.grams[-1][keep])
-                    firsts.append(run.at[-1][keep])
-                    lengths.append(np.full(len(grams[-1]), k, dtype=np.int32))
+                    keep = _holds(owned, run.grams[-1], key[run.doc[run.at[-1]]])
+                    gram, first = np.unique(run.grams[-1][keep], return_index=True)
+                    at = run.at[-1][keep][first]
+                    size = word[at + k] - word[at] - 1
+                    bound = np.zeros(len(at) + 1, dtype=np.int64)
+                    np.cumsum(size, out=bound[1:])
+                    flat = text[np.arange(bound[-1]) + np.repeat(word[at] - bound[:-1], size)]
+                    phrases = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(bound), pa.py_buffer(flat)]).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(run.doc[at])), pa.array(signed(gram)), phrases,
+                                                      pa.array(np.full(len(at), k, dtype=np.int32))], schema=_TEXT)
                     if k < LONGEST:
-                        run.longer(keep)
-                gram, first, n = np.unique(np.concatenate(grams), return_index=True, return_counts=True)
-                at, k = np.concatenate(firsts)[first], np.concatenate(lengths)[first]
-                table.add(gram, code[run.doc[at]], k, n, text, word[at], word[at + k] - word[at] - 1)
-                if len(table.gram) > HELD // 2:
-                    yield from table.batches(list(place))
-                    table = Strings()
-        yield from table.batches(list(place))
+                        run.longer(slice(None))
 
     return task
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, k, f): every phrase of up to LONGEST words with f >= ``support`` occurrences; and (lang, n): all words of a language."""
-    texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int").alias("shard"), "text")
+    texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int").alias("shard"),
+                        F.xxhash64("doc_id", "text").alias("key"), "text")
     found, bits, shares, size = [], None, None, None
     for level in (1, 2, 3):
-        local = (texts.mapInArrow(_local(level, bits), "lang string, shard int, gram bigint, n bigint")
-                 .groupBy("lang", "shard", "gram").agg(F.sum("n").alias("n")))
+        local = (texts.mapInArrow(_local(level, bits), _LOCAL_DDL)
+                 .groupBy("lang", "shard", "gram").agg(F.sum("n").alias("n"), F.min("key").alias("key")))
         if level == 1:
             local = stored(local, "son-words")
             shares = local.groupBy("lang", "shard").agg(F.sum("n").alias("n"))
@@ -283,14 +255,25 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame
             # the least count that a shard can be asked for: the support times its share of the words, rounded up
             shares = stored(shares.join(size.withColumnRenamed("n", "every"), "lang")
                             .select("lang", "shard", F.expr(f"({support} * cast(n as decimal(20,0)) + every - 1) div every").alias("least")), "son-shares")
-        own = stored(local.join(shares, ["lang", "shard"]).filter("n >= least").select("gram", "shard"), f"son-level-{level}")
+        own = stored(local.join(shares, ["lang", "shard"]).filter("n >= least").select("lang", "shard", "gram", "n", "key", "least"), f"son-level-{level}")
         found.append(own)
         if level < 3:
             bits = Filter(own, salted=True).bits
     union = found[0].unionByName(found[1]).unionByName(found[2])
-    counts = (texts.mapInArrow(_global(Filter(union, salted=False).bits), "lang string, phrase string, k int, n bigint")
-              .groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f")).filter(F.col("f") >= support))
-    return stored(counts, "son-frequent"), size
+    every = shares.groupBy("lang").agg(F.count("*").alias("shards"), F.sum(F.col("least") - 1).alias("most"))
+    known = stored(union.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.min("key").alias("key"), F.count("*").alias("in_shards"),
+                                                     F.sum(F.col("least") - 1).alias("found_most")).join(every, "lang"), "son-union")
+    # a shard that did not find a phrase holds it less often than it was asked for
+    open_ = known.filter(f"in_shards < shards and n + most - found_most >= {support}").select("lang", "gram")
+    again = (texts.mapInArrow(_local(0, Filter(open_.withColumn("shard", F.lit(0)), salted=False).bits), _LOCAL_DDL)
+             .groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.min("key").alias("key")).join(open_, ["lang", "gram"], "left_semi"))
+    counts = known.filter("in_shards = shards").select("lang", "gram", "n", "key").unionByName(again)
+    counts = stored(counts.filter(F.col("n") >= support), "son-counts")
+    owned = Filter(counts.select("gram", F.col("key").alias("shard")), salted=True).bits
+    owners = Filter(counts.select(F.col("key").alias("gram"), F.lit(0).alias("shard")).distinct(), salted=False).bits
+    phrases = texts.mapInArrow(_texts(owners, owned), "lang string, gram bigint, phrase string, k int").dropDuplicates(["lang", "gram"])
+    frequent = counts.join(phrases, ["lang", "gram"]).select("lang", "phrase", "k", F.col("n").alias("f"))
+    return stored(frequent, "son-frequent"), size
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, contained: int = CONTAINED, top: int = TOP) -> DataFrame:
