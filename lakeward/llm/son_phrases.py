@@ -39,7 +39,7 @@ CONTAINED = 80               # percent of a phrase's occurrences from which a lo
 TOP = 2000
 SCORE = "(cast(2000000 as decimal(7,0)) * cast(a as decimal(20,0))) div (cast(l as decimal(20,0)) + r)"
 FILTER_BITS = 1 << 26        # of the phrases found frequent at a level: 8 MB, whatever their number
-HELD = 1 << 20               # phrases counted in a task before they are sent on
+HELD = 1 << 18               # phrases counted in a task before they are sent on
 
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
