@@ -3,6 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes every
 stage's result as Parquet below the shared folder and hands it to the next.  All but the
 last return the columns of documents.  Near duplicates are found on five-word shingles at similarity 0.8.
+
+The filtering stages drop by doc_id: a row with a null doc_id passes them, and a row given twice stays or goes twice.
 """
 
 from __future__ import annotations
@@ -53,7 +55,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality rules", quality), ("near duplicates", near_dedup), ("substring dedup", substring_dedup),
           ("decontamination", decontaminate), ("packing", packing)]
 
-#: The near-duplicate components and the tokenizer's ids are beyond SQL; tests/llm compares each stage with a brute-force version.
+#: The near-duplicate components and the tokenizer's ids are beyond SQL; tests/llm checks the stages on planted rows and their operators against SQL or brute force.
 ORACLE_SQL = None
 
 
