@@ -456,9 +456,6 @@ def journey_with_rollup(spark, sf):
     return out.select("pseudonymized_user_id", "journey_date", "partner_id", "session_count", "partner_dau")
 
 
-steps.register("derive_stage")(journey.derive_stage)
-
-
 @query("function_step", oracle("""
 select pseudonymized_user_id, partner_id, journey_date,
        case when session_count = 0 then 'churned' when session_count >= 5 then 'habitual'

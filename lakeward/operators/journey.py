@@ -84,10 +84,14 @@ def days_since_signup(journey: DataFrame, silver: DataFrame, vocab: Vocabulary =
                    .drop("signup_date"))
 
 
+def user_day_with_signup(silver: DataFrame, vocab: Vocabulary = REFERENCE_VOCAB) -> DataFrame:
+    """U1 + U4: the user-days with their days since signup."""
+    return days_since_signup(user_day(silver, vocab), silver, vocab)
+
+
 def user_journey(silver: DataFrame, vocab: Vocabulary = REFERENCE_VOCAB, as_of=None) -> DataFrame:
     """The complete journey product."""
-    j = days_since_signup(user_day(silver, vocab), silver, vocab)
-    j = cohort_tags(derive_stage(j))
+    j = cohort_tags(derive_stage(user_day_with_signup(silver, vocab)))
     cols = ["pseudonymized_user_id", "partner_id", "journey_date", "days_since_signup", "events",
             "session_count", "total_engagement_min", "derived_stage", "cohort_tags"]
     if as_of is not None:

@@ -7,15 +7,14 @@ products read the written silver table, as they would in production."""
 from __future__ import annotations
 
 import copy
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeward import products
 from lakeward.functions.expressions import Vocabulary
 from lakeward.model import Product, load_product
-from lakeward.operators import journey, rollups, steps
-from lakeward.plans.runner import RunResult, run_product
+from lakeward.plans.runner import RunResult, read_source, run_product
 
 
 @dataclass
@@ -26,42 +25,21 @@ class FlowResult:
 
 
 def flow_products(vocab: Vocabulary, on_failure: str | None = None) -> tuple[Product, Product, Product]:
-    """The three contracts with their code steps bound to an event vocabulary.
+    """The three contracts as declared, with ``vocab`` for the event semantics of their function steps.
     ``on_failure`` overrides the products' gate policy (None keeps them)."""
-    tag = f"{vocab.session_end_type}_{vocab.completion_type}"
-    steps.register(f"partner_daily[{tag}]")(lambda df: rollups.partner_daily(df, vocab))
-    steps.register(f"user_day_with_signup[{tag}]")(
-        lambda df: journey.days_since_signup(journey.user_day(df, vocab), df, vocab))
-    steps.register("derive_stage")(journey.derive_stage)
-
-    eng = copy.deepcopy(products.ENGAGEMENT_EVENTS)
-    dash = copy.deepcopy(products.PARTNER_DASHBOARD)
-    dash["transformations"] = [
-        {"name": "aggregate_daily_per_partner", "type": "pyspark_function", "function": f"partner_daily[{tag}]"},
-        {"name": "refresh_time", "type": "expr", "column": "last_refreshed_at", "expression": "{as_of}"},
-        {"name": "merge_into_gold", "type": "merge", "match_on": ["partner_id", "metric_date"]},
-    ]
-    jour = copy.deepcopy(products.USER_JOURNEY)
-    jour["transformations"] = [
-        {"name": "sessionize", "type": "pyspark_function", "function": f"user_day_with_signup[{tag}]"},
-        {"name": "derive_stage", "type": "pyspark_function", "function": "derive_stage"},
-        {"name": "tag_cohorts", "type": "expr", "column": "cohort_tags", "expression": journey.COHORT_TAGS_SQL},
-        {"name": "refresh_time", "type": "expr", "column": "last_refreshed_at", "expression": "{as_of}"},
-        {"name": "merge_into_gold", "type": "merge",
-         "match_on": ["pseudonymized_user_id", "partner_id", "journey_date"]},
-    ]
-    if on_failure:
-        for spec in (eng, dash, jour):
+    specs = [copy.deepcopy(s) for s in products.ALL.values()]
+    for spec in specs:
+        for step in spec["transformations"]:
+            if "vocabulary" in step:
+                step["vocabulary"] = asdict(vocab)
+        if on_failure:
             spec["quality"]["on_failure"] = on_failure
-    return load_product(eng), load_product(dash), load_product(jour)
+    return tuple(load_product(s) for s in specs)
 
 
 def run_flow(spark: SparkSession, raw: DataFrame, root: str, salt: str, as_of: str, vocab: Vocabulary,
              refs: dict | None = None, on_failure: str | None = None) -> FlowResult:
     eng, dash, jour = flow_products(vocab, on_failure)
     r1 = run_product(spark, eng, raw, root, salt, "ingest_timestamp", "silver", refs)
-    # the contract's types: folder names alone would turn the partner 007 into a number
-    silver = spark.read.schema(f"{eng.ddl()}, event_date date").parquet(r1.outputs["target"]).drop("event_date")
-    r2 = run_product(spark, dash, silver, root, salt, as_of, "gold", refs)
-    r3 = run_product(spark, jour, silver, root, salt, as_of, "gold", refs)
+    r2, r3 = (run_product(spark, p, read_source(spark, p, root, [eng]), root, salt, as_of, "gold", refs) for p in (dash, jour))
     return FlowResult(r1, r2, r3)

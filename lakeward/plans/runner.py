@@ -19,8 +19,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.functions.expressions import pseudonym
-from lakeward.model import Product
+from lakeward.functions.expressions import Vocabulary, pseudonym
+from lakeward.model import ContractError, Product
 from lakeward.operators import checks, joins, steps
 from lakeward.sinks import writes
 
@@ -73,7 +73,8 @@ def apply_steps(spark: SparkSession, df: DataFrame, product: Product, salt: str,
         elif st.type == "expr":
             out = steps.expr_step(out, p["column"], p["expression"].replace("{as_of}", _as_of_sql(as_of)))
         elif st.type == "pyspark_function":
-            out = steps.function_step(out, p["function"])
+            given = {"vocab": Vocabulary(**p["vocabulary"])} if "vocabulary" in p else {}
+            out = steps.function_step(out, p["function"], **given)
         elif st.type == "join":
             other = (refs or {})[p["with"]]
             if p.get("broadcast"):
@@ -94,6 +95,20 @@ def _shape(df: DataFrame, product: Product, partition_by: tuple) -> DataFrame:
     return df.select(*cols)
 
 
+def read_source(spark: SparkSession, product: Product, root: str, contracts: list[Product]) -> DataFrame:
+    """The table a contract names as ``source.table``, below ``root``, with the columns and types of the
+    contract that writes it (folder names alone would turn the partner 007 into a number)."""
+    table = product.source.get("table") or ""
+    tier, _, name = table.partition(".")
+    writer = next((p for p in contracts if p.name == name and p.tier(tier).enabled), None)
+    if writer is None:
+        raise ContractError(f"{product.name}: no contract writes its source {table!r}")
+    t = writer.tier(tier)
+    own = [f.name for f in writer.fields]
+    extra = [f"`{c}` {'date' if c.endswith('_date') else 'string'}" for c in t.partition_by if c not in own]
+    return spark.read.format(t.format).schema(", ".join([writer.ddl(), *extra])).load(f"{root}/{tier}/{name}")
+
+
 def run_product(spark: SparkSession, product: Product, source: DataFrame, root: str, salt: str,
                 as_of: str, tier: str = "silver", refs: dict | None = None, run_id: str | None = None,
                 raise_on_block: bool = True) -> RunResult:
