@@ -7,12 +7,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeward import products
-from lakeward.catalog.common import VOCAB, dedup, gold_daily, oracle, present, query, raw, silver, silver_table
+from lakeward.catalog.common import ORACLE, VOCAB, dedup, gold_daily, oracle, present, query, raw, silver, silver_table
 from lakeward.catalog.reports import GOLD_BASIC, _legacy_silver
 from lakeward.model import load_product
 from lakeward.operators import journey, joins, rollups, steps
 from lakeward.plans import backfill as backfill_plan
-from lakeward.plans import erasure, evolution, parity
+from lakeward.plans import erasure, evolution, flow, lineage, parity
 from lakeward.plans.runner import run_product
 from lakeward.session import workspace
 from lakeward.sinks import changes, writes
@@ -391,6 +391,45 @@ def erasure_audit(spark, sf):
     return spark.read.parquet(audit).select("subject", "table_name", "rows_erased", "executed")
 
 
+def _erased_flow(spark, sf, name):
+    root = workspace(spark, name)
+    refs = {"silver.partners": fixture.partners(spark, sf)}
+    flow.run_flow(spark, raw(spark, sf), root, fixture.SALT, "2024-02-01 00:00:00", VOCAB, refs, "warn")
+    keys = erasure.subjects(spark, spark.createDataFrame([(i,) for i in ERASE_RAW_IDS], "raw_id string"), "raw_id", fixture.SALT)
+    contracts = list(flow.flow_products(VOCAB))
+    audit = lineage.erase(spark, root, contracts, keys, fixture.SALT, "2024-02-01 00:00:00", "request-1", refs)
+    return root, contracts, audit
+
+
+ERASE_RAW_IDS = ["7", "11"]
+ERASE_LIST = ", ".join(f"'{i}'" for i in ERASE_RAW_IDS)
+
+
+@query("erase_by_contract", oracle("").rstrip() + f""",
+subjects as (select unnest([{ERASE_LIST}]) as id),
+hits as (
+  select 'bronze.engagement_events' as table_name, 'user_id' as "column", sha256('salt' || user_id) as subject from raw
+  union all select 'silver.engagement_events', 'user_id', user_id from silver
+  union all select 'quarantine.engagement_events', 'user_id', sha256('salt' || user_id) from late
+  union all select 'gold.user_journey', 'pseudonymized_user_id', pseudonymized_user_id from journey)
+select subject, table_name, "column", count(*) as rows_erased from hits
+where subject in (select sha256('salt' || id) from subjects) group by all
+""")
+def erase_by_contract(spark, sf):
+    """V3: the three products run end to end, then users 7 and 11 are erased from all tables that
+    the contracts make them reach; the request's audit."""
+    return _erased_flow(spark, sf, "erase_by_contract")[2].select("subject", "table_name", "column", "rows_erased")
+
+
+@query("erase_by_contract_gold", ORACLE["erase_rollup"].replace(f"user_id <> {ERASE_SUBJECT}",
+       f"user_id not in (select sha256('salt' || id) from (select unnest([{ERASE_LIST}]) as id))"))
+def erase_by_contract_gold(spark, sf):
+    """V3: the same request; the dashboard gold, whose rows fed by the erased events were computed anew."""
+    root, contracts, _ = _erased_flow(spark, sf, "erase_by_contract_gold")
+    g = spark.read.schema(GOLD_DDL).parquet(f"{root}/gold/partner_dashboard")
+    return present(g.select(*rollups.DISPLAY_COLUMNS), dbl_cols=["total_engagement_min"])
+
+
 # -- parity, re-identification, joins, function/sql steps -----------------------------------
 
 @query("parity_report", oracle("").rstrip() + """,
@@ -539,8 +578,6 @@ def product_flow(spark, sf):
     back.  The fixture's ghost partners fail the reference-table rules, so the
     products run with the ``warn`` policy here (``run_history`` shows the
     declared policy blocking)."""
-    from lakeward.plans import flow
-
     root = workspace(spark, "product_flow")
     refs = {"silver.partners": fixture.partners(spark, sf)}
     res = flow.run_flow(spark, raw(spark, sf), root, fixture.SALT, "2024-02-01 00:00:00", VOCAB, refs, "warn")

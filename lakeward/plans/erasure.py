@@ -55,19 +55,6 @@ def subjects(spark: SparkSession, raw_ids: DataFrame, column: str, salt: str) ->
     return raw_ids.select(pseudonym(column, salt).alias("subject")).where(F.col("subject").isNotNull()).distinct()
 
 
-def targets_from_products(root: str, products: list, tier_of: dict) -> list[Target]:
-    """V3: tables to visit, found from the contracts: every PII column of a
-    product and every pseudonymized id column (``pseudonymized_*``)."""
-    out = []
-    for p in products:
-        tier = tier_of[p.name]
-        t = p.tier(tier)
-        cols = p.pii_columns() + [f.name for f in p.fields if f.name.startswith("pseudonymized_")]
-        for c in dict.fromkeys(cols):
-            out.append(Target(f"{tier}.{p.name}", f"{root}/{tier}/{p.name}", c, tuple(t.partition_by)))
-    return out
-
-
 def _read(spark: SparkSession, t: Target) -> DataFrame | None:
     if not writes.exists(spark, t.path):
         return None

@@ -160,6 +160,27 @@ def promote(spark: SparkSession, staged: str, target: str) -> None:
     _remove(fs, old)
 
 
+def restore(spark: SparkSession, target: str) -> None:
+    """Take back what a writer that was lost left around ``target``: folders it had set aside return to their place
+    where nothing has taken it, then all that was set aside or staged goes.  Only for a table that nobody is writing."""
+    target = target.rstrip("/")
+    fs, place = _fs(spark, target)
+    found = lambda pattern: [f.getPath() for f in fs.globStatus(_path(spark, pattern)) or []]
+    for old in found(f"{target}__replaced_*"):
+        if not fs.exists(place):
+            _move(fs, old, place)
+    for aside in found(f"{target}/_replaced_*"):
+        top = fs.makeQualified(aside).toUri().getPath().rstrip("/")
+        for folder in sorted({f.getParent().toUri().getPath() for f in _data_files(fs, aside)}):
+            dst = _path(spark, f"{target}/{folder[len(top) + 1:]}")
+            if not fs.exists(dst):
+                fs.mkdirs(dst.getParent())
+                _move(fs, _path(spark, folder), dst)
+    for kind in ("__replaced_*", "__staging_*", "__updates_*", "/_replaced_*", "/_staging_*"):
+        for left in found(target + kind):
+            _remove(fs, left)
+
+
 def replace_partitions(spark: SparkSession, new_rows: DataFrame, target: str, partition_by: list[str],
                        touched: list[tuple], fmt: str = "parquet", cluster_by: list[str] | tuple = ()) -> None:
     """Stage the new content of the touched partitions, then swap them in."""
