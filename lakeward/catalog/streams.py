@@ -32,6 +32,27 @@ def stream_land(spark, sf):
     return spark.read.parquet(out["bronze"]).select("event_id", "copy", "ingest_date")
 
 
+@query("stream_replayed", oracle("""
+select 'bronze' as sink, count(*) as rows, count(distinct event_id || '/' || copy) as deliveries from raw
+union all select 'late', count(*), count(distinct event_id || '/' || copy) from raw
+where not coalesce(event_timestamp >= ingest_timestamp - interval '7' day, false)
+"""))
+def stream_replayed(spark, sf):
+    """Two loads landed, then all of it read again under a new checkpoint, then a third load under that one:
+    the ledger lets every delivery through once."""
+    root = workspace(spark, "stream_replayed")
+    day = F.dayofmonth("ingest_timestamp") % 3
+    for load, ckpt in ((0, "a"), (1, "a"), (None, "b"), (2, "b")):
+        if load is not None:
+            jobs.write_landing(raw(spark, sf).where(day == load), f"{root}/landing")
+        bronze = jobs.land(spark, f"{root}/landing", root, f"{root}/_ckpt/land-{ckpt}", fixture.SALT)["bronze"]
+        late = jobs.quarantine_late(spark, f"{root}/landing", root, f"{root}/_ckpt/late-{ckpt}", salt=fixture.SALT)
+    count = lambda sink, path: spark.read.parquet(path).agg(
+        F.lit(sink).alias("sink"), F.count(F.lit(1)).alias("rows"),
+        F.count_distinct(F.concat_ws("/", "event_id", "copy")).alias("deliveries"))
+    return count("bronze", bronze).unionByName(count("late", late))
+
+
 @query("stream_late", oracle("""
 select event_id, copy, 'late_event_handling' as reject_reason from raw
 where not coalesce(event_timestamp >= ingest_timestamp - interval '7' day, false)

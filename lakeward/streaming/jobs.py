@@ -11,8 +11,8 @@
   recomputation: each micro-batch upserts silver, collects the (partner,
   day) keys it touched and recomputes only those rows from silver.
 * Every sink is idempotent per batch: silver and gold are keyed upserts,
-  append sinks write a ``batch_id`` partition with overwrite, so a replayed
-  batch changes nothing.
+  append sinks of stateless streams go by a ledger of source files (``ledger.py``), so a
+  replayed batch, a new checkpoint or a driver lost between two sinks changes nothing.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from lakeward.operators.sessions import sessionize
 from lakeward.sinks import changes, writes
 from lakeward.sources.landing import LANDING_DDL, parse, write_landing  # noqa: F401
 from lakeward.sources.landing import malformed as landing_malformed
+from lakeward.streaming.ledger import Ledger, commit_writer, with_file
 
 SILVER_DDL = ("event_id string, event_timestamp timestamp, ingest_timestamp timestamp, user_id string, "
               "partner_id string, event_type string, session_id string, duration_seconds double, "
@@ -36,13 +37,14 @@ GOLD_DDL = ("partner_id string, dau bigint, total_sessions bigint, total_engagem
 STAGE_DDL = "user_id string, session_count int, total_engagement_min double, derived_stage string, journey_date date"
 
 
-def read_landing(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Streaming JSON read with the contract schema (no inference)."""
+def read_landing(spark: SparkSession, path: str, max_files: int | None = None, files: bool = False) -> DataFrame:
+    """Streaming JSON read with the contract schema (no inference); ``files`` adds each row's file for the ledger."""
     r = (spark.readStream.schema(LANDING_DDL).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return parse(r.json(path))
+    rows = r.json(path)
+    return parse(with_file(rows) if files else rows)
 
 
 def malformed(df: DataFrame) -> F.Column:
@@ -68,32 +70,40 @@ def _batch_partition_writer(path: str, partition_by: list[str] | None = None):
     return write
 
 
-def land(spark: SparkSession, landing: str, root: str, checkpoint: str) -> dict:
-    """Land the stream: well-formed rows to bronze (partitioned by
-    ingest_date), malformed rows to quarantine with the raw line."""
-    src = read_landing(spark, landing)
+def masked(rows: DataFrame, salt: str | None) -> DataFrame:
+    """Rows for a quarantine: the user id as its pseudonym (without a salt: none), in a raw line too."""
+    hide = (lambda c: pseudonym(c, salt)) if salt else (lambda c: F.lit(None).cast("string"))
+    if "_corrupt_record" in rows.columns:
+        found = F.regexp_extract("_corrupt_record", RAW_ID, 2)
+        rows = rows.withColumn("_corrupt_record", F.regexp_replace("_corrupt_record", F.lit(RAW_ID),
+                                                                   F.concat(F.lit("$1"), F.coalesce(hide(found), F.lit("")))))
+    return rows.withColumn("user_id", hide(F.col("user_id")))
 
-    def each(batch: DataFrame, batch_id: int):
-        tagged = batch.withColumn("__bad", malformed(batch))
-        good = tagged.where(~F.col("__bad")).drop("__bad", "_corrupt_record") \
-                     .withColumn("ingest_date", F.to_date("ingest_timestamp"))
-        bad = tagged.where(F.col("__bad")).drop("__bad")
-        _batch_partition_writer(f"{root}/bronze", ["ingest_date"])(good, batch_id)
-        _batch_partition_writer(f"{root}/quarantine/malformed")(bad, batch_id)
 
-    _run(src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+# The user id of a line that is not whole JSON: its name, then what stands up to the next quote, comma or brace.
+RAW_ID = r"""(["']?user_id["']?\s*[:=]\s*["']?)([^"',}\s]*)"""
+
+
+def land(spark: SparkSession, landing: str, root: str, checkpoint: str, salt: str | None = None,
+         max_files: int | None = None) -> dict:
+    """Land the stream: well-formed rows to bronze (partitioned by
+    ingest_date), malformed rows to quarantine with the raw line, ids masked.  Both sinks go by the ledger."""
+    bronze, bad = commit_writer(f"{root}/bronze", ["ingest_date"]), commit_writer(f"{root}/quarantine/malformed")
+    sinks = [lambda rows, commit: bronze(rows.where(~malformed(rows)).drop("_corrupt_record")
+                                         .withColumn("ingest_date", F.to_date("ingest_timestamp")), commit),
+             lambda rows, commit: bad(masked(rows.where(malformed(rows)), salt), commit)]
+    Ledger(spark, f"{root}/_ledger", "land").run(read_landing(spark, landing, max_files, files=True), sinks, checkpoint)
     return {"bronze": f"{root}/bronze", "quarantine": f"{root}/quarantine/malformed"}
 
 
-def quarantine_late(spark: SparkSession, landing: str, root: str, checkpoint: str, days: int = 7) -> str:
-    """Stateless late split, before any watermark."""
-    src = read_landing(spark, landing)
+def quarantine_late(spark: SparkSession, landing: str, root: str, checkpoint: str, days: int = 7,
+                    salt: str | None = None, max_files: int | None = None) -> str:
+    """Stateless late split, before any watermark; ids masked, by the ledger."""
+    src = read_landing(spark, landing, max_files, files=True)
     rej = (src.where(~malformed(src) & late(src, days)).drop("_corrupt_record")
               .withColumn("__reject_reason", F.lit("late_event_handling")))
     path = f"{root}/quarantine/late"
-    _run(rej.writeStream.foreachBatch(_batch_partition_writer(path))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    Ledger(spark, f"{root}/_ledger", "quarantine_late").run(masked(rej, salt), [commit_writer(path)], checkpoint)
     return path
 
 
@@ -108,10 +118,11 @@ def on_time_deduplicated(spark: SparkSession, landing: str, salt: str, days: int
     return d.withColumn("user_id", pseudonym("user_id", salt))
 
 
-def dedup_to_table(spark: SparkSession, landing: str, root: str, checkpoint: str, salt: str) -> str:
+def dedup_to_table(spark: SparkSession, landing: str, root: str, checkpoint: str, salt: str,
+                   max_files: int | None = None) -> str:
     """R2 sink: append-only Parquet of the deduplicated stream."""
     path = f"{root}/silver_stream"
-    df = on_time_deduplicated(spark, landing, salt)
+    df = on_time_deduplicated(spark, landing, salt, max_files=max_files)
     _run(df.writeStream.foreachBatch(_batch_partition_writer(path))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     return path
@@ -219,24 +230,24 @@ def session_windows(spark: SparkSession, landing: str, root: str, checkpoint: st
 
 
 def observed_metrics(spark: SparkSession, landing: str, checkpoint: str, sla_seconds: int = 120,
-                     max_files: int | None = None) -> dict:
+                     max_files: int | None = None, metrics_root: str | None = None) -> dict:
     """Volume and freshness of the stream: one row of metrics per
-    micro-batch, stored beside the checkpoint (a replayed batch rewrites its
-    own row), totalled over every batch of every load."""
-    src = read_landing(spark, landing, max_files)
+    commit, stored beside the landing's ledger (a replayed batch rewrites its
+    own row, a new checkpoint adds none), totalled over every commit of every load."""
+    src = read_landing(spark, landing, max_files, files=True)
     lag = F.unix_timestamp("ingest_timestamp") - F.unix_timestamp("event_timestamp")
-    path = f"{checkpoint.rstrip('/')}_metrics"
-    write = _batch_partition_writer(path)
+    root = metrics_root or checkpoint.rstrip("/") + "_metrics"
+    path = f"{root}/metrics"
+    write = commit_writer(path)
 
-    def each(batch: DataFrame, batch_id: int):
-        write(batch.agg(F.count(F.lit(1)).alias("rows"), F.count_if(lag <= sla_seconds).alias("within_sla"),
-                        F.max(lag).alias("max_lag_s")), batch_id)
+    def sink(rows: DataFrame, commit: str):
+        write(rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(lag <= sla_seconds).alias("within_sla"),
+                       F.max(lag).alias("max_lag_s")), commit)
 
-    _run(src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    Ledger(spark, f"{root}/_ledger", "observed_metrics").run(src, [sink], checkpoint)
     if not writes.exists(spark, path):
         return {"rows": 0, "within_sla": 0, "max_lag_s": 0}
-    batches = spark.read.schema("rows bigint, within_sla bigint, max_lag_s bigint, batch_id bigint").parquet(path)
+    batches = spark.read.schema("rows bigint, within_sla bigint, max_lag_s bigint, commit string").parquet(path)
     return batches.agg(*(F.coalesce(f(c), F.lit(0)).alias(c) for f, c in (
         (F.sum, "rows"), (F.sum, "within_sla"), (F.max, "max_lag_s")))).first().asDict()
 
