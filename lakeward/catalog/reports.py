@@ -5,9 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeward.catalog.common import (VOCAB, dedup, gold_daily, oracle, present, query,
+from lakeward import products
+from lakeward.catalog.common import (VOCAB, dedup, gold_daily, oracle, present, query, raw,
                                      silver, silver_table)
-from lakeward.operators import rollups, sets, steps
+from lakeward.model import load_product
+from lakeward.operators import rollups, sets, sketches, steps
+from lakeward.plans.runner import run_product
+from lakeward.session import workspace
 from lakeward.sources import fixture
 
 DBL = ["total_engagement_min"]
@@ -60,6 +64,58 @@ def approx_dau(spark, sf):
     return both.select("partner_id", "metric_date", "dau", near.alias("within_bound"))
 
 
+@query("sketch_dau_range", oracle("""
+select 'week' as span, partner_id, cast(date_trunc('week', event_timestamp) as date) as period_start, count(distinct user_id) as users, true as within_bound
+from silver group by all
+union all select 'month', partner_id, cast(date_trunc('month', event_timestamp) as date), count(distinct user_id), true from silver group by all
+union all select 'mid-January', partner_id, date '2024-01-10', count(distinct user_id), true from silver
+where cast(event_timestamp as date) between date '2024-01-10' and date '2024-01-20' group by all
+"""))
+def sketch_dau_range(spark, sf):
+    """Users per week, month and any range of days from stored per-day sketches, folded in two loads of which the
+    second comes twice; exact users beside them and whether the estimate is within five standard errors (8.1 %), or one user."""
+    path = f"{workspace(spark, 'sketch_dau_range')}/users"
+    s = silver_table(spark, sf)
+    odd = F.crc32("event_id") % 2 == 1
+    for load in (~odd, odd, odd):
+        sketches.fold_users(spark, path, s.where(load))
+    stored = spark.read.schema(sketches.USERS_DDL).parquet(path)
+    out = None
+    day, made = F.to_date("event_timestamp"), F.col("metric_date")
+    mid = lambda d: d.between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-20").cast("date"))
+    for span, start, keep in (("week", lambda d: F.date_trunc("week", d).cast("date"), None), ("month", lambda d: F.trunc(d, "month"), None),
+                              ("mid-January", lambda d: F.lit("2024-01-10").cast("date"), mid)):
+        approx = sketches.users_by(stored.where(keep(made)) if keep else stored, start(made))
+        exact = (s.where(keep(day)) if keep else s).groupBy("partner_id", start(day).alias("period_start")).agg(F.count_distinct("user_id").alias("users"))
+        near = F.abs(F.col("users_approx") - F.col("users")) <= F.greatest(F.lit(1.0), 0.081 * F.col("users"))
+        one = exact.join(approx, ["partner_id", "period_start"]).select(F.lit(span).alias("span"), "partner_id", "period_start", "users",
+                                                                       near.alias("within_bound"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("lag_over_runs", oracle("").rstrip() + """,
+days as (select cast(event_timestamp as date) as day, epoch(ingest_timestamp) - epoch(event_timestamp) as lag from silver)
+select cast(date_trunc('week', day) as date) as week, count(*) as rows, count(*) filter (where lag <= 120) as within_sla, true as near_p95
+from days group by 1
+""")
+def lag_over_runs(spark, sf):
+    """Q6/Q7: the engagement product in three runs; rows, rows inside the SLA and p95 of the lag per week from the metrics the
+    runs kept, and whether that p95 lies between the exact 93rd and 97th percentiles."""
+    root = workspace(spark, "lag_over_runs")
+    spec = {**products.ENGAGEMENT_EVENTS, "quality": {**products.ENGAGEMENT_EVENTS["quality"], "on_failure": "warn"}}
+    refs = {"silver.partners": fixture.partners(spark, sf)}
+    events, third = raw(spark, sf), F.crc32("event_id") % 3
+    for i in range(3):
+        run_product(spark, load_product(spec), events.where(third == i), root, fixture.SALT, "ingest_timestamp", refs=refs, run_id=f"run-{i}")
+    kept = spark.read.schema(sketches.LAG_DDL).parquet(f"{root}/_metrics")
+    got = sketches.lag_quantile(kept, 0.95, F.date_trunc("week", "day").cast("date").alias("week"))
+    stored = spark.read.parquet(f"{root}/silver/engagement_events").select(
+        F.date_trunc("week", "event_timestamp").cast("date").alias("week"), F.expr(sketches.LAG).alias("lag"))
+    exact = stored.groupBy("week").agg(F.percentile("lag", 0.93).alias("low"), F.percentile("lag", 0.97).alias("high"))
+    return got.join(exact, "week").select("week", "rows", "within_sla", F.col("lag_s").between(F.floor("low"), F.ceil("high")).alias("near_p95"))
+
+
 # -- dashboard --------------------------------------------------------------------------
 
 GOLD_BASIC = """partner_id, metric_date, dau, total_sessions, round(total_engagement_min, 6) as total_engagement_min,

@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 
 from lakeward.functions.expressions import Vocabulary, pseudonym
 from lakeward.model import ContractError, Product
-from lakeward.operators import checks, joins, steps
+from lakeward.operators import checks, joins, sketches, steps
 from lakeward.sinks import writes
 
 RUNS_SCHEMA = ("run_id string, contract string, version string, as_of timestamp, status string, "
                "rows_in bigint, rows_out bigint, rows_rejected bigint, step_counts map<string,bigint>, "
-               "failed_rules array<string>")
+               "failed_rules array<string>, alerts array<string>")
 
 
 @dataclass
@@ -109,6 +109,48 @@ def read_source(spark: SparkSession, product: Product, root: str, contracts: lis
     return spark.read.format(t.format).schema(", ".join([writer.ddl(), *extra])).load(f"{root}/{tier}/{name}")
 
 
+P95, BASELINE_RUNS = 0.95, 7
+
+
+def _blocks(product: Product, rule: str) -> bool:
+    """Volume and freshness alert, unless their block of the contract (``volume``, ``freshness``) says ``on_failure: block..``."""
+    declared = product.quality.volume if rule.startswith("volume") else product.raw.get("quality", {}).get("freshness")
+    return str((declared or {}).get("on_failure", "alert")).startswith("block")
+
+
+def _service_levels(spark: SparkSession, product: Product, out: DataFrame, root: str, run_id: str) -> tuple[list[dict], str | None]:
+    """Q6/Q7 in the gate, from one pass over two columns of the output; also the staged folder of the run's metrics, one row a day.
+    ``freshness_p95``: at least 95 % of the rows inside the SLA, which is p95 <= SLA without an estimate.  ``volume_expected``:
+    rows per minute over the run's days against the declared rate.  ``volume_baseline``: the run's rows a day against the
+    mean of the last seven runs before it, whose metrics are kept under ``_metrics``."""
+    q = product.quality
+    if not (q.volume or q.freshness_sla_minutes is not None) or not {"event_timestamp", "ingest_timestamp"} <= set(out.columns):
+        return [], None
+    path = f"{root}/_staging/metrics/{product.name}-{run_id}"
+    sketches.lag_by_day(out, q.freshness_sla_minutes).withColumn("stored_at", F.current_timestamp()).write.mode("overwrite").parquet(path)
+    total = spark.read.parquet(path).agg(F.sum("rows").alias("n"), F.sum("within_sla").alias("inside"), F.count("day").alias("days")).first()
+    n, found = total["n"] or 0, []
+
+    def rule(name, actual, threshold):
+        found.append(dict(rule=name, column="", actual=round(float(actual), 6), threshold=float(threshold), passed=actual >= threshold))
+
+    if q.freshness_sla_minutes is not None and n:
+        rule("freshness_p95", total["inside"] / n, P95)
+    if q.volume:
+        share = q.volume.get("alert_if_below_pct", 50) / 100.0
+        a_day = n / max(total["days"], 1)
+        if q.volume.get("expected_events_per_minute") is not None:
+            rule("volume_expected", a_day / 1440.0, q.volume["expected_events_per_minute"] * share)
+        kept = f"{root}/_metrics/contract={product.name}"
+        if writes.exists(spark, kept):
+            runs = (spark.read.parquet(kept).where(F.col("run_id").cast("string") != run_id).groupBy("run_id")
+                    .agg((F.sum("rows") / F.count("day")).alias("a_day"), F.max("stored_at").alias("at")))
+            before = runs.orderBy(F.desc("at"), "run_id").limit(BASELINE_RUNS).agg(F.avg("a_day")).first()[0]
+            if before:
+                rule("volume_baseline", a_day, before * share)
+    return found, path
+
+
 def run_product(spark: SparkSession, product: Product, source: DataFrame, root: str, salt: str,
                 as_of: str, tier: str = "silver", refs: dict | None = None, run_id: str | None = None,
                 raise_on_block: bool = True) -> RunResult:
@@ -161,7 +203,11 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
     static = checks.schema_static(staged_df, product, check_types=True)
     static += checks.sql_rules(staged_df, list(product.quality.business_rules))
     report = [row.asDict() for row in checks.evaluate(frame, rules, static).collect()]
-    blocking = checks.blocking_failures(report, product.quality.on_failure, checks.non_blocking_rules(product))
+    alerts, metrics = _service_levels(spark, product, staged_df, root, run_id)
+    report += alerts
+    blocking = checks.blocking_failures([r for r in report if r not in alerts], product.quality.on_failure,
+                                        checks.non_blocking_rules(product))
+    blocking += [r for r in alerts if not r["passed"] and _blocks(product, r["rule"])]
 
     counts = {k: int(o.get.get("n", 0)) for k, o in obs.items()}
     rows_out = int(next(r["actual"] for r in report if r["rule"] == "row_count"))
@@ -169,6 +215,8 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
     rows_in = source.count()
     counts["output"] = rows_out
     status = "blocked" if blocking else "written"
+    if metrics and not blocking:
+        writes.promote(spark, metrics, f"{root}/_metrics/contract={product.name}/run_id={run_id}")
     if not blocking:
         # rows of earlier runs stay: by the merge keys, else by the idempotency key of the dedup step
         dedup = next((st.params for st in product.steps if st.type == "deduplicate"), {})
@@ -185,10 +233,11 @@ def run_product(spark: SparkSession, product: Product, source: DataFrame, root:
     if bronze.enabled:
         writes.append_by_rename(spark, b_staged, f"{root}/bronze/{product.name}", tag=f"run-{run_id}")
 
-    failed = [f"{r['rule']}[{r['column']}]" for r in report if not r["passed"]]
+    failed = [f"{r['rule']}[{r['column']}]" for r in report if not r["passed"] and (r not in alerts or r in blocking)]
+    raised = [r["rule"] for r in alerts if not r["passed"] and r not in blocking]
     runs = spark.createDataFrame(
         [(run_id, product.name, product.version, None, status, rows_in, rows_out, rows_rej,
-          counts, failed)], RUNS_SCHEMA).withColumn("as_of", F.try_to_timestamp(F.lit(as_of)))
+          counts, failed, raised)], RUNS_SCHEMA).withColumn("as_of", F.try_to_timestamp(F.lit(as_of)))
     record = f"{root}/_staging/runs/{product.name}-{run_id}"
     runs.write.mode("overwrite").parquet(record)
     writes.append_by_rename(spark, record, f"{root}/_runs", tag=f"{product.name}-{run_id}")    # one row a run, however often it is tried
