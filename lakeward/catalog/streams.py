@@ -7,13 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeward.catalog.common import CTE, VOCAB, oracle, present, query, raw, silver
+from lakeward.catalog.common import ORACLE, CTE, VOCAB, oracle, present, query, raw, silver
 from lakeward.catalog.core import GOLD_SQL
 from lakeward.plans import erasure
 from lakeward.session import workspace
 from lakeward.sinks import changes, writes
 from lakeward.sources import fixture
-from lakeward.streaming import jobs
+from lakeward.streaming import jobs, stage_state
 
 
 def _landing(spark, sf, name):
@@ -201,6 +201,19 @@ def stream_stage(spark, sf):
     return present(spark.read.schema(jobs.STAGE_DDL).parquet(path), dbl_cols=["total_engagement_min"])
 
 
+@query("stream_stage_state", ORACLE["stream_stage"])
+def stream_stage_state(spark, sf):
+    """R7 with keyed state: the same stages from spans kept per (user, day), three loads in order of arrival."""
+    root = workspace(spark, "stream_stage_state")
+    rows = raw(spark, sf)
+    seen = F.col("ingest_timestamp")
+    first, second = (F.lit(d).cast("timestamp") for d in ("2024-01-11", "2024-01-21"))
+    for load in (seen < first, (seen >= first) & (seen < second), seen >= second):
+        jobs.write_landing(rows.where(load), f"{root}/landing")
+        path, _ = stage_state.run(spark, f"{root}/landing", root, f"{root}/_ckpt/stage", fixture.SALT, VOCAB)
+    return present(spark.read.schema(jobs.STAGE_DDL).parquet(path), dbl_cols=["total_engagement_min"])
+
+
 @query("stream_volume", oracle("""
 select count(*) as rows, count(*) filter (where lag <= 120) as within_sla, max(lag) as max_lag_s
 from (select cast(floor(epoch(ingest_timestamp)) as bigint) - cast(floor(epoch(event_timestamp)) as bigint) as lag from raw) x
