@@ -12,10 +12,10 @@ from lakeward.catalog.reports import GOLD_BASIC, _legacy_silver
 from lakeward.model import load_product
 from lakeward.operators import journey, joins, rollups, steps
 from lakeward.plans import backfill as backfill_plan
-from lakeward.plans import erasure, evolution, flow, lineage, parity
+from lakeward.plans import erasure, evolution, flow, lineage, parity, retention
 from lakeward.plans.runner import run_product
 from lakeward.session import workspace
-from lakeward.sinks import changes, writes
+from lakeward.sinks import changes, writes, zorder
 from lakeward.sources import fixture
 
 SILVER_DDL = ("event_id string, event_timestamp timestamp, ingest_timestamp timestamp, user_id string, "
@@ -107,6 +107,51 @@ def retention_report(spark, sf):
     return writes.expired_partitions(back, "event_date", 21, "2024-01-31")
 
 
+def _expired_silver(spark, sf, name):
+    """Silver after its partitions past 21 days at 2024-01-31 were dropped: (path, audit of the drop)."""
+    root = workspace(spark, name)
+    path = _write_silver(spark, sf, root)
+    return path, retention.drop(spark, path, "event_date", 21, "2024-01-31", "jan", f"{root}/_retention", SILVER_DDL)
+
+
+@query("retention_drop", oracle(f"""
+select {SILVER_ROWS_SQL} from silver where cast(event_timestamp as date) >= date '2024-01-31' - interval 21 day
+"""))
+def retention_drop(spark, sf):
+    """The rows that stay when the expired partitions are dropped."""
+    path, _ = _expired_silver(spark, sf, "retention_drop")
+    back = spark.read.schema(SILVER_DDL).parquet(path)
+    return present(back.select("event_id", "event_timestamp", "user_id", "partner_id", "event_type", "event_date"),
+                   ts_cols=["event_timestamp"])
+
+
+@query("retention_audit", oracle("""
+select 'jan' as request, cast(event_timestamp as date) as value, count(*) as rows, 'dropped' as outcome from silver
+where cast(event_timestamp as date) < date '2024-01-31' - interval 21 day group by 2
+"""))
+def retention_audit(spark, sf):
+    """The audit of that drop, one row a partition."""
+    _, audit = _expired_silver(spark, sf, "retention_audit")
+    return audit.select("request", "value", "rows", "outcome")
+
+
+@query("zorder_layout", oracle("""
+select event_id, user_id, partner_id, event_type, true as fewer_files from silver
+"""))
+def zorder_layout(spark, sf):
+    """Silver rewritten in place in Z-order of (user_id, event_type): every row is kept, and a filter on
+    the second column, which a linear sort cannot serve, opens fewer files than there are."""
+    path = f"{workspace(spark, 'zorder')}/silver"
+    cols = ["event_id", "user_id", "partner_id", "event_type"]
+    silver(spark, sf).select(*cols).write.parquet(path)
+    zorder.optimize(spark, path, ["user_id", "event_type"], "event_id string, user_id string, partner_id string, event_type string", files=32)
+    back = spark.read.parquet(path)
+    ranges = zorder.file_ranges(back, ["event_type"])
+    opened = zorder.files_admitted(ranges, "event_type", back.select("event_type").distinct())
+    total = ranges.agg(F.count(F.lit(1)).alias("total"))
+    return back.join(opened.join(total, F.lit(True)).select("event_type", (F.col("files") < F.col("total")).alias("fewer_files")), "event_type")
+
+
 @query("quarantine_report", oracle("""
 select 'late_event_handling' as reject_reason, cast(event_timestamp as date) as event_date, count(*) as rows from late group by 2
 """))
