@@ -12,7 +12,7 @@ from lakeward.catalog.reports import GOLD_BASIC, _legacy_silver
 from lakeward.model import load_product
 from lakeward.operators import journey, joins, rollups, steps
 from lakeward.plans import backfill as backfill_plan
-from lakeward.plans import erasure, evolution, flow, lineage, parity, retention
+from lakeward.plans import erasure, evolution, flow, lineage, parity, retention, typetree
 from lakeward.plans.runner import run_product
 from lakeward.session import workspace
 from lakeward.sinks import changes, writes, zorder
@@ -615,6 +615,50 @@ def contract_changes(spark, sf):
                       F.coalesce("rows_affected", F.lit(0).cast("bigint")).alias("rows_affected")))
 
 
+#: Two versions of a contract with a nested bag; the types are this query's own.
+NESTED_V1 = {**products.ENGAGEMENT_EVENTS, "contract": {**products.ENGAGEMENT_EVENTS["contract"], "version": "1.4.0"}, "schema": [
+    {"name": "event_id", "type": "string", "nullable": False},
+    {"name": "bag", "type": "struct<seconds:bigint,kind:string,tags:array<string>,sizes:map<string,int>,Amount:decimal(12,2)>", "nullable": True}]}
+NESTED_V2 = {**NESTED_V1, "contract": {**NESTED_V1["contract"], "version": "1.5.0"}, "schema": [
+    {"name": "event_id", "type": "string", "nullable": False},
+    {"name": "bag", "type": "struct<seconds:tinyint,tags:array<int>,sizes:map<string,bigint>,amount:decimal(4,2)>", "nullable": True}]}
+
+
+def _nested(spark, sf):
+    seconds = F.col("duration_seconds")
+    bag = F.struct(seconds.cast("bigint").alias("seconds"), F.col("event_type").alias("kind"),
+                   F.array(F.lit("1"), F.when(F.col("event_type") == "click", "2").otherwise(F.col("event_type"))).alias("tags"),
+                   F.create_map(F.lit("n"), F.length("session_id")).alias("sizes"), seconds.cast("decimal(12,2)").alias("Amount"))
+    return silver(spark, sf).select("event_id", bag.alias("bag"))
+
+
+@query("type_changes", oracle("""
+select path, change, class, old_type, new_type, cast(rows_affected as bigint) as rows_affected from (
+  select 'bag.seconds' as path, 'type narrowed' as change, 'breaking' as class, 'bigint' as old_type, 'tinyint' as new_type,
+         count(*) filter (where duration_seconds > 127) as rows_affected from silver
+  union all select 'bag.kind', 'field removed', 'breaking', 'string', null, count(event_type) from silver
+  union all select 'bag.tags[]', 'type changed', 'breaking', 'string', 'int', count(*) filter (where event_type <> 'click') from silver
+  union all select 'bag.sizes{value}', 'type widened', 'additive', 'int', 'bigint', 0
+  union all select 'bag.Amount', 'renamed by case', 'breaking', 'decimal(12,2)', 'decimal(4,2)', count(duration_seconds) from silver
+  union all select 'bag.Amount', 'type narrowed', 'breaking', 'decimal(12,2)', 'decimal(4,2)',
+         count(*) filter (where duration_seconds >= 100) from silver
+) x
+"""))
+def type_changes(spark, sf):
+    """V6/V8: differences inside a nested type by path, with the rows of silver each one hits."""
+    return typetree.impact(_nested(spark, sf), load_product(NESTED_V1), load_product(NESTED_V2))
+
+
+@query("bump_check", oracle("""
+select 'engagement_events' as contract, 'major' as required, 'minor' as actual, false as passed, count(*) as rows_affected
+from silver where event_type is not null
+"""))
+def bump_check(spark, sf):
+    """V7: the version step those differences call for, the step taken, and the rows the worst of them breaks."""
+    old, new = load_product(NESTED_V1), load_product(NESTED_V2)
+    return typetree.bump(typetree.impact(_nested(spark, sf), old, new), old, new)
+
+
 @query("product_flow", oracle(f"select {GOLD_BASIC} from gold"))
 def product_flow(spark, sf):
     """The demo flow end to end: raw deliveries -> engagement product (bronze,
