@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeward import products
-from lakeward.catalog.common import (VOCAB, dedup, gold_daily, oracle, present, query, raw,
+from lakeward.catalog.common import (VOCAB, dedup, gold_table, oracle, present, query, raw,
                                      silver, silver_table)
 from lakeward.model import load_product
 from lakeward.operators import rollups, sets, sketches, steps
@@ -128,7 +128,7 @@ where partner_id in ('AUTOMOBILE', 'BUILDING', 'MACHINERY') and metric_date betw
 """))
 def dashboard_filter(spark, sf):
     """Partner set and date range."""
-    g = rollups.dashboard_filter(gold_daily(spark, sf), ["AUTOMOBILE", "BUILDING", "MACHINERY"],
+    g = rollups.dashboard_filter(gold_table(spark, sf), ["AUTOMOBILE", "BUILDING", "MACHINERY"],
                                  "2024-01-05", "2024-01-20")
     return present(g.select(*rollups.DISPLAY_COLUMNS), dbl_cols=DBL)
 
@@ -136,7 +136,7 @@ def dashboard_filter(spark, sf):
 @query("dashboard_table", oracle(f"select {GOLD_BASIC} from gold order by metric_date desc, partner_id"))
 def dashboard_table(spark, sf):
     """Display columns, newest first."""
-    return present(rollups.dashboard_table(gold_daily(spark, sf)), dbl_cols=DBL)
+    return present(rollups.dashboard_table(gold_table(spark, sf)), dbl_cols=DBL)
 
 
 @query("dashboard_kpis", oracle("""
@@ -146,7 +146,7 @@ from gold
 """))
 def dashboard_kpis(spark, sf):
     """Headline numbers."""
-    return present(rollups.dashboard_kpis(gold_daily(spark, sf)), dbl_cols=["avg_dau", "engagement_minutes"])
+    return present(rollups.dashboard_kpis(gold_table(spark, sf)), dbl_cols=["avg_dau", "engagement_minutes"])
 
 
 @query("minutes_by_day", oracle("""
@@ -154,7 +154,7 @@ select metric_date, round(sum(total_engagement_min), 6) as total_engagement_min
 """))
 def minutes_by_day(spark, sf):
     """Engagement minutes per day."""
-    return present(rollups.minutes_by_day(gold_daily(spark, sf)), dbl_cols=DBL)
+    return present(rollups.minutes_by_day(gold_table(spark, sf)), dbl_cols=DBL)
 
 
 @query("completions_by_partner", oracle("""
@@ -162,7 +162,7 @@ select partner_id, cast(sum(exercise_completions) as bigint) as exercise_complet
 """))
 def completions_by_partner(spark, sf):
     """Completions per partner, largest first."""
-    return rollups.completions_by_partner(gold_daily(spark, sf))
+    return rollups.completions_by_partner(gold_table(spark, sf))
 
 
 @query("dau_pivot", oracle("""
@@ -170,7 +170,7 @@ select * from (pivot (select metric_date, partner_id, dau from gold) on partner_
 """))
 def dau_pivot(spark, sf):
     """Date x partner DAU matrix."""
-    gold = gold_daily(spark, sf)
+    gold = gold_table(spark, sf)
     # the columns are the partners there are (one name each), so none is left out
     partners = [r[0] for r in gold.select("partner_id").distinct().orderBy("partner_id").collect()]
     return rollups.dau_pivot(gold, partners)
@@ -183,7 +183,7 @@ from gold
 """))
 def dashboard_bounds(spark, sf):
     """Date range and partner list."""
-    return rollups.dashboard_bounds(gold_daily(spark, sf))
+    return rollups.dashboard_bounds(gold_table(spark, sf))
 
 
 @query("dau_trend", oracle("""
@@ -194,7 +194,7 @@ from gold
 """))
 def dau_trend(spark, sf):
     """Trailing 7-day mean and day-over-day change of DAU."""
-    return present(rollups.dau_trend(gold_daily(spark, sf)), dbl_cols=["dau_avg_7d"])
+    return present(rollups.dau_trend(gold_table(spark, sf)), dbl_cols=["dau_avg_7d"])
 
 
 @query("partner_rank", oracle("""
@@ -204,7 +204,7 @@ from gold
 """))
 def partner_rank(spark, sf):
     """Partner rank per day by DAU."""
-    return rollups.partner_rank(gold_daily(spark, sf))
+    return rollups.partner_rank(gold_table(spark, sf))
 
 
 @query("top_types_by_count", oracle("""

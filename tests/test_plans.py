@@ -44,3 +44,13 @@ def test_checks_are_one_aggregate(spark):
     plan = _plan(df)
     # one final aggregation over the candidate, then unpivot
     assert plan.count("HashAggregate(keys=[]") <= 2
+
+
+def test_dashboard_reads_stored_gold_by_partition(spark):
+    """One scan of the stored table, no source scan; the date range is a partition filter and only the columns shown are read."""
+    plan = _plan(QUERIES["dashboard_filter"](spark, SF001))
+    assert plan.count("FileScan parquet") == 1 and "PartitionFilters: [isnotnull(metric_date" in plan
+    for name in ("dashboard_table", "dashboard_kpis", "minutes_by_day", "completions_by_partner", "dau_pivot", "dashboard_bounds", "dau_trend", "partner_rank"):
+        plan = _plan(QUERIES[name](spark, SF001))
+        assert plan.count("FileScan parquet") == 1 and "event_id" not in plan, name
+    assert "top_event_types" not in plan
