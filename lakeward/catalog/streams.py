@@ -7,12 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeward.catalog.common import ORACLE, CTE, VOCAB, oracle, present, query, raw, silver
+from lakeward import products
+from lakeward.catalog.common import CTE, ORACLE, VOCAB, oracle, present, query, raw, silver
 from lakeward.catalog.core import GOLD_SQL
+from lakeward.model import load_product
 from lakeward.plans import erasure
 from lakeward.session import workspace
 from lakeward.sinks import changes, writes
 from lakeward.sources import fixture
+from lakeward.streaming import double_write as double_write_job
 from lakeward.streaming import jobs, stage_state
 
 
@@ -214,6 +217,31 @@ def stream_stage_state(spark, sf):
     return present(spark.read.schema(jobs.STAGE_DDL).parquet(path), dbl_cols=["total_engagement_min"])
 
 
+@query("double_write", oracle("""
+select 'old' as side, event_type, null as reason, count(*) as rows, true as all_commits_match from raw group by 2
+union all
+select case when reason is null then 'new' else 'rejected' end, event_type, reason, count(*), true
+from (select event_type, case when user_id is null then 'user_id: missing' when event_type = 'error' then 'event_type: value not allowed' end as reason from raw) x
+group by 1, 2, 3
+"""))
+def double_write(spark, sf):
+    """Two loads written under the old and the proposed contract at once; rows by side, type and reason, and whether
+    the parity rows of all commits agree."""
+    root = workspace(spark, "double_write")
+    old, new = load_product(products.ENGAGEMENT_EVENTS_V1_BAG), load_product(products.ENGAGEMENT_EVENTS_V2)
+    rows = raw(spark, sf)
+    cut = F.col("ingest_timestamp") < F.lit("2024-01-15").cast("timestamp")
+    for load in (cut, ~cut):
+        jobs.write_landing(rows.where(load), f"{root}/landing")
+        out = double_write_job.run(spark, f"{root}/landing", root, f"{root}/_ckpt/double", old, new, fixture.SALT)
+    sides = [spark.read.schema(f"{p.ddl()}, {double_write_job.REASON} string").parquet(out[side])
+             .select(F.lit(side).alias("side"), "event_type", F.col(double_write_job.REASON).alias("reason"))
+             for side, p in (("old", old), ("new", new), ("rejected", new))]
+    match = spark.read.schema(double_write_job.PARITY_DDL).parquet(out["parity"]).agg(F.bool_and("matches").alias("all_commits_match"))
+    counts = sides[0].unionByName(sides[1]).unionByName(sides[2]).groupBy("side", "event_type", "reason").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.join(match, F.lit(True))
+
+
 @query("stream_volume", oracle("""
 select count(*) as rows, count(*) filter (where lag <= 120) as within_sla, max(lag) as max_lag_s
 from (select cast(floor(epoch(ingest_timestamp)) as bigint) - cast(floor(epoch(event_timestamp)) as bigint) as lag from raw) x

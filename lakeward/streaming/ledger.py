@@ -91,8 +91,9 @@ class Ledger:
             batch.write.mode("overwrite").parquet(f"{self.open}/{commit}/rows")
         self._finish(commit, sinks)
 
-    def run(self, source: DataFrame, sinks: list, checkpoint: str) -> None:
-        """Bring all that is available of a stream (with ``FILE``) to the sinks, functions of (rows, commit)."""
+    def run(self, source: DataFrame, sinks: list, checkpoint: str) -> int:
+        """Bring all that is available of a stream (with ``FILE``) to the sinks, functions of (rows, commit);
+        returns how many rows its source read (a plan that ran twice a batch would read them twice)."""
         def each(batch: DataFrame, batch_id: int):
             told = self.spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]       # one line
             self.commit(batch, f"{json.loads(told)['id']}-{batch_id}", sinks)
@@ -101,3 +102,4 @@ class Ledger:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+        return sum(p["numInputRows"] for p in q.recentProgress)
