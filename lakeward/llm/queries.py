@@ -63,7 +63,7 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(short, F.to_json(F.struct("turn", F.col("text").alias("query")))).otherwise(F.to_json(F.struct("text"))).alias("arguments"))
     results = rows.filter("role = 'assistant'").select("conv_id", name(1).alias("call_id"), "turn", F.col("text").alias("content"))
     schemas = spark.createDataFrame(TOOL_SCHEMAS, "name string, argument string, type string, required boolean")
-    return link_calls(calls, results, schemas)
+    return link_calls(calls, results, schemas).drop("arguments", "content")      # the json holds both
 
 
 def held_out(doc_id: str = "doc_id"):

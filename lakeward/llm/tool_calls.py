@@ -9,9 +9,13 @@ written as canonical JSON: keys sorted at every level, no white space, nulls lef
 
 No conversation is gathered into one row, so one of any length is spread over tasks.
 
+No row is lost and none loses its text: whatever the canonical JSON cannot hold (arguments that are no JSON or repeat a key,
+integers beyond 38 digits, which the engine's JSON reads as doubles, and the number's own spelling) stands in ``arguments`` as it was given.
+
 Defined cases: results without a call and calls without a result are returned with their status; of
-calls that share an id in a conversation the first by (turn, name, arguments) is linked, the others are
-"duplicate"; of several results the first by (turn, content) is linked and all are counted; a parent that does not exist
+calls that share an id in a conversation the first by (turn, name, arguments, parent) is linked, the others are
+"duplicate", each with its own turn, name and arguments; of several results of a call the first by (turn, content) is linked and all
+are counted, the others are "extra_result" with their own turn and content, as are those of a result without a call; a parent that does not exist
 counts as none; null ids never match; arguments that are no JSON object are invalid; a tool
 without schema accepts any object; null texts stay null; extra columns are ignored.
 """
@@ -63,17 +67,32 @@ def argument_faults(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     return wrong.unionByName(missing).groupBy("conv_id", "call_id").agg(F.count("*").alias("n_faults"))
 
 
+def _beyond_first(rows: DataFrame, first: DataFrame, fields: list[str], times: str) -> DataFrame:
+    """The rows (conv_id, call_id, fields) of ids that occur more than once, without the one that ``first`` names (``fields`` and the count ``times``).
+
+    Equal rows are counted before they meet the first one, so a row given very often is one row until the end."""
+    many = first.filter(F.col(times) > 1).select(F.col("conv_id").alias("m_conv"), F.col("call_id").alias("m_id"), F.struct(*fields).alias("m"))
+    counted = rows.groupBy("conv_id", "call_id", *fields).agg(F.count("*").alias("copies"))
+    met = counted.join(many, (F.col("conv_id") == F.col("m_conv")) & (F.col("call_id") == F.col("m_id")))
+    left = F.col("copies") - F.struct(*fields).eqNullSafe(F.col("m")).cast("bigint")
+    return met.withColumn("left", left).filter("left > 0").select(
+        "conv_id", "call_id", *fields, F.explode(F.sequence(F.lit(1), F.col("left").cast("int"))).alias("nth")).drop("nth")
+
+
 def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
-    """A row per call and per result without a call.
+    """A row per call, per result without a call and per result beyond the first of its id.
 
     calls: conv_id, call_id, parent_id, turn, name, arguments (JSON text); results: conv_id, call_id, turn, content.
-    Returns conv_id, call_id, turn, depth, name, status (linked, no_result, no_call, duplicate), args_valid, n_results, json."""
+    Returns conv_id, call_id, turn, depth, name, status (linked, no_result, no_call, duplicate, extra_result), args_valid, n_results, json,
+    and the texts as given: arguments and content (of the linked result, or of the row's own)."""
     calls = stored(calls.select("conv_id", "call_id", "parent_id", "turn", "name", "arguments"), "calls")
     keyed = calls.filter("conv_id is not null and call_id is not null")
     first = stored(keyed.groupBy("conv_id", "call_id").agg(
         F.min(F.struct("turn", "name", "arguments", "parent_id")).alias("c"), F.count("*").alias("times"))
         .select("conv_id", "call_id", "c.*", "times"), "first-calls")
-    answer = (results.filter("conv_id is not null and call_id is not null").groupBy("conv_id", "call_id")
+    results = stored(results.select("conv_id", "call_id", "turn", "content"), "results")
+    answered = results.filter("conv_id is not null and call_id is not null")
+    answer = (answered.groupBy("conv_id", "call_id")
               .agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
               .select(F.col("conv_id").alias("r_conv"), F.col("call_id").alias("r_id"), F.col("r.turn").alias("r_turn"), "r.content", "n_results"))
     answer = stored(answer, "first-results")
@@ -87,21 +106,24 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
               .withColumn("args_valid", is_object & F.col("n_faults").isNull())
               .withColumn("json", F.to_json(F.struct(object_.alias("arguments"), F.col("call_id").alias("id"), "name", F.col("parent_id").alias("parent"), F.col("content").alias("result"))))
               .select("conv_id", "call_id", "turn", "depth", "name", F.when(F.col("r_id").isNull(), "no_result").otherwise("linked").alias("status"),
-                      "args_valid", F.coalesce("n_results", F.lit(0)).cast("bigint").alias("n_results"), "json"))
+                      "args_valid", F.coalesce("n_results", F.lit(0)).cast("bigint").alias("n_results"), "json", "arguments", "content"))
 
-    def alone(df: DataFrame, status: str, name, turn, count) -> DataFrame:
-        return df.select("conv_id", "call_id", turn.cast("bigint").alias("turn"), F.lit(None).cast("bigint").alias("depth"), name.cast("string").alias("name"),
+    def alone(df: DataFrame, status: str, count) -> DataFrame:
+        own = {c: F.col(c) if c in df.columns else F.lit(None) for c in ("name", "arguments", "content")}
+        return df.select("conv_id", "call_id", F.col("turn").cast("bigint").alias("turn"), F.lit(None).cast("bigint").alias("depth"), own["name"].cast("string").alias("name"),
                          F.lit(status).alias("status"), F.lit(None).cast("boolean").alias("args_valid"), count.cast("bigint").alias("n_results"),
-                         F.lit(None).cast("string").alias("json"))
+                         F.lit(None).cast("string").alias("json"), own["arguments"].cast("string").alias("arguments"), own["content"].cast("string").alias("content"))
 
-    none = F.lit(None)
-    orphans = answer.join(first.select("conv_id", "call_id"), same, "left_anti").select(F.col("r_conv").alias("conv_id"), F.col("r_id").alias("call_id"), "r_turn", "n_results")
-    # every row of a repeated id beyond the first one
-    spare = first.filter("times > 1").select("conv_id", "call_id", "turn", "name", F.explode(F.sequence(F.lit(2), F.col("times").cast("int"))).alias("nth"))
+    orphans = (answer.join(first.select("conv_id", "call_id"), same, "left_anti")
+               .select(F.col("r_conv").alias("conv_id"), F.col("r_id").alias("call_id"), F.col("r_turn").alias("turn"), "content", "n_results"))
+    spare = _beyond_first(keyed, first, ["turn", "name", "arguments", "parent_id"], "times")
+    chosen = answer.select(F.col("r_conv").alias("conv_id"), F.col("r_id").alias("call_id"), F.col("r_turn").alias("turn"), "content", "n_results")
+    extra = _beyond_first(answered, chosen, ["turn", "content"], "n_results")
     unkeyed_calls = calls.filter("conv_id is null or call_id is null")
     unkeyed_results = results.filter("conv_id is null or call_id is null")
     return (linked.withColumn("turn", F.col("turn").cast("bigint"))
-            .unionByName(alone(orphans, "no_call", none, F.col("r_turn"), F.col("n_results")))
-            .unionByName(alone(spare, "duplicate", F.col("name"), F.col("turn"), F.lit(0)))
-            .unionByName(alone(unkeyed_calls, "no_result", F.col("name"), F.col("turn"), F.lit(0)))
-            .unionByName(alone(unkeyed_results, "no_call", none, F.col("turn"), F.lit(1))))
+            .unionByName(alone(orphans, "no_call", F.col("n_results")))
+            .unionByName(alone(spare, "duplicate", F.lit(0)))
+            .unionByName(alone(extra, "extra_result", F.lit(0)))
+            .unionByName(alone(unkeyed_calls, "no_result", F.lit(0)))
+            .unionByName(alone(unkeyed_results, "no_call", F.lit(1))))

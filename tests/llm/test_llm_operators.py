@@ -301,7 +301,7 @@ def test_tool_calls(spark):
     s = spark.createDataFrame(schemas, "name string, argument string, type string, required boolean")
     got = tool_calls.link_calls(c, r, s).collect()
     by = {(x.conv_id, x.call_id, x.status): x for x in got}
-    assert len(got) == len(calls) + 1
+    assert len(got) == len(calls) + 2          # a result without a call, a second result
     assert by[1, "a", "linked"].json == '{"arguments":{"query":"x","turn":1},"id":"a","name":"search","result":"res"}'
     assert by[1, "a", "linked"].n_results == 2 and by[1, "a", "linked"].args_valid
     assert not by[1, "b", "no_result"].args_valid and by[1, "b", "no_result"].depth == 1
@@ -312,6 +312,25 @@ def test_tool_calls(spark):
     assert tool_calls.link_calls(c.limit(0), r.limit(0), s).count() == 0
 
 
+def test_tool_calls_lose_no_text(spark):
+    long_number, twice = '{"n":' + "7" * 50 + "}", '{"a":1,"a":2}'
+    calls = ([(1, "a", None, t, n, a) for t, n, a in ((0, "f", "{}"), (0, "f", "{}"), (0, "f", "{}"), (4, "g", '{"later":1}'), (4, None, None))]
+             + [(2, "b", None, 0, "f", long_number), (2, "c", None, 0, "f", twice), (2, "d", None, 0, "f", "no json")])
+    results = [(1, "a", 1, "one"), (1, "a", 1, "one"), (1, "a", 2, "two"), (1, "a", None, None), (5, "q", 1, "x"), (5, "q", 1, "y"), (None, "q", 1, "z")]
+    c = spark.createDataFrame(calls, "conv_id bigint, call_id string, parent_id string, turn bigint, name string, arguments string")
+    r = spark.createDataFrame(results, "conv_id bigint, call_id string, turn bigint, content string")
+    s = spark.createDataFrame([], "name string, argument string, type string, required boolean")
+    got = tool_calls.link_calls(c, r, s).collect()
+    is_call = lambda x: x.status in ("linked", "no_result", "duplicate")
+    assert sorted((x.conv_id, x.call_id, x.turn, x.name, x.arguments) for x in got if is_call(x) and x.conv_id == 2) == \
+        sorted((v, k, t, n, a) for v, k, _, t, n, a in calls if v == 2)
+    of_a = [x for x in got if x.call_id == "a"]
+    assert sorted(((x.turn, x.name, x.arguments) for x in of_a if is_call(x)), key=str) == sorted(((t, n, a) for v, k, _, t, n, a in calls if k == "a"), key=str)
+    assert sorted(((x.content or "") for x in of_a if x.status in ("linked", "extra_result"))) == ["", "one", "one", "two"]
+    assert [x.n_results for x in of_a if x.status == "linked"] == [4]
+    assert sorted((x.status, x.content) for x in got if x.call_id == "q") == [("extra_result", "y"), ("no_call", "x"), ("no_call", "z")]
+
+
 # --- 6 ----------------------------------------------------------------------
 
 def test_rule_ensemble_on_held_out_rows(spark):
