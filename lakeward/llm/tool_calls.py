@@ -70,9 +70,11 @@ def argument_faults(calls: DataFrame, schemas: DataFrame) -> DataFrame:
 def _beyond_first(rows: DataFrame, first: DataFrame, fields: list[str], times: str) -> DataFrame:
     """The rows (conv_id, call_id, fields) of ids that occur more than once, without the one that ``first`` names (``fields`` and the count ``times``).
 
+    The repeated ids are stored by themselves, so Spark knows their size: if few, they go to the rows and only rows of such ids are shuffled.
     Equal rows are counted before they meet the first one, so a row given very often is one row until the end."""
     many = first.filter(F.col(times) > 1).select(F.col("conv_id").alias("m_conv"), F.col("call_id").alias("m_id"), F.struct(*fields).alias("m"))
-    counted = rows.groupBy("conv_id", "call_id", *fields).agg(F.count("*").alias("copies"))
+    again = stored(many.select(F.col("m_conv").alias("conv_id"), F.col("m_id").alias("call_id")), "repeated-ids")
+    counted = rows.join(again, ["conv_id", "call_id"], "left_semi").groupBy("conv_id", "call_id", *fields).agg(F.count("*").alias("copies"))
     met = counted.join(many, (F.col("conv_id") == F.col("m_conv")) & (F.col("call_id") == F.col("m_id")))
     left = F.col("copies") - F.struct(*fields).eqNullSafe(F.col("m")).cast("bigint")
     return met.withColumn("left", left).filter("left > 0").select(
@@ -90,7 +92,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     first = stored(keyed.groupBy("conv_id", "call_id").agg(
         F.min(F.struct("turn", "name", "arguments", "parent_id")).alias("c"), F.count("*").alias("times"))
         .select("conv_id", "call_id", "c.*", "times"), "first-calls")
-    results = stored(results.select("conv_id", "call_id", "turn", "content"), "results")
+    results = results.select("conv_id", "call_id", "turn", "content")
     answered = results.filter("conv_id is not null and call_id is not null")
     answer = (answered.groupBy("conv_id", "call_id")
               .agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
