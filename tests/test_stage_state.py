@@ -82,3 +82,20 @@ def test_empty_and_anonymous(spark, tmp_dir):
     path, _ = stage_state.run(spark, f"{tmp_dir}/landing", tmp_dir, f"{tmp_dir}/ckpt", "x", VOCAB)
     out = spark.read.schema(jobs.STAGE_DDL).parquet(path).collect()
     assert [(r.session_count, r.total_engagement_min) for r in out] == [(1, 0.0)]   # a closing event without a duration
+
+
+def test_state_and_calls_do_not_grow_with_the_users(spark, tmp_dir):
+    """Six hundred users of one day in two loads: the state rows are bounded by the slices, every user-day is right."""
+    ddl = ("event_id string, event_timestamp timestamp, ingest_timestamp timestamp, user_id string, partner_id string, "
+           "event_type string, session_id string, duration_seconds double, is_first_session string, copy int")
+    t = datetime(2024, 1, 1, 9)
+    first = [_event(f"{u}-a", t, f"u{u}", "purchase", 60.0) for u in range(600)]
+    again = first[:300] + [_event(f"{u}-b", t + timedelta(hours=2), f"u{u}", "purchase", 30.0) for u in range(100)]
+    again += [_event("0-a", t + timedelta(minutes=5), "u599", "purchase", 60.0)]          # another user's id is not a copy
+    for load in (first, again):
+        jobs.write_landing(spark.createDataFrame(load, ddl), f"{tmp_dir}/landing")
+        path, left = stage_state.run(spark, f"{tmp_dir}/landing", tmp_dir, f"{tmp_dir}/ckpt", "x", VOCAB)
+        assert left[-1] <= 128 * 4                # slices x (spans, closing events, timers)
+    out = spark.read.schema(jobs.STAGE_DDL).parquet(path).collect()
+    got = sorted((r.session_count, r.total_engagement_min) for r in out)
+    assert got == [(1, 1.0)] * 499 + [(1, 2.0)] + [(2, 1.5)] * 100
