@@ -84,10 +84,14 @@ def partner_subtotals(silver: DataFrame) -> DataFrame:
 
 
 def approx_dau(silver: DataFrame, rsd: float = 0.01) -> DataFrame:
-    """HyperLogLog++ distinct users per partner-day (streams, long windows)."""
-    return (silver.groupBy("partner_id", F.to_date("event_timestamp").alias("metric_date"))
+    """HyperLogLog++ distinct users per partner-day (streams, long windows), the exact number beside it.
+
+    Users are made distinct first: beside a ``count_distinct`` every (partner, day, user) would carry a sketch of its own
+    (13 KB at 1 %) up to the second aggregation.  A sketch takes a value once or often alike."""
+    day = F.to_date("event_timestamp").alias("metric_date")
+    return (silver.select("partner_id", day, "user_id").distinct().groupBy("partner_id", "metric_date")
                   .agg(F.approx_count_distinct("user_id", rsd).alias("dau_approx"),
-                       F.count_distinct("user_id").alias("dau")))
+                       F.count("user_id").alias("dau")))
 
 
 # -- dashboard (reads the gold rollup) -------------------------------------------

@@ -159,6 +159,20 @@ def test_approx_dau_error_bound(spark):
     assert rows and all(abs(r["dau_approx"] - r["dau"]) <= max(1, 0.05 * r["dau"]) for r in rows)
 
 
+def test_approx_dau_holds_a_sketch_per_partner_day_only(spark):
+    """No aggregation keyed by the user carries a sketch; repeats, NULL users, partners and times count as before."""
+    from lakeward.operators.rollups import approx_dau
+    day = T0.replace(hour=1)
+    events = spark.createDataFrame([("p", day, "a"), ("p", day, "a"), ("p", day, "b"), ("p", day, None), ("p", day + timedelta(days=1), None),
+                                    (None, day, "a"), ("q", None, "c")], "partner_id string, event_timestamp timestamp, user_id string")
+    out = approx_dau(events)
+    got = {(r["partner_id"], str(r["metric_date"])): (r["dau_approx"], r["dau"]) for r in out.collect()}
+    assert got == {("p", str(day.date())): (2, 2), ("p", str((day + timedelta(days=1)).date())): (0, 0), (None, str(day.date())): (1, 1), ("q", "None"): (1, 1)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    sketched = [line for line in plan.splitlines() if "Aggregate(" in line and "approx_count_distinct" in line]
+    assert sketched and not any("user_id" in line.split("keys=")[1].split("functions=")[0] for line in sketched), plan
+
+
 def test_table_registry_resolves_dotted_names(spark, tmp_dir):
     from lakeward.sources.tables import TableRegistry
     spark.createDataFrame([(1,)], "x int").write.parquet(f"{tmp_dir}/silver/partners")
