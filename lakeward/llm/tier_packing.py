@@ -37,7 +37,8 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 BUFFER_TOKENS = 1 << 20      # ids held before windows are formed
 STEP_TOKENS = 1 << 16        # tokens of a step group
-KNOWN_WORDS = 1 << 20        # words remembered by a Python worker
+KNOWN_WORDS = 1 << 20        # words remembered by a Python worker, as numbers in arrays: 50 bytes a word
+KNOWN_PARTS = 1 << 14        # parts of words remembered beside them, as Python objects of several hundred bytes
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
                   ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int32()), ("step_group", pa.int64())])
@@ -62,11 +63,11 @@ class WordTokenizer:
 
     def forget(self) -> None:
         self.known = np.zeros(0, dtype=np.uint64)        # hashes of the words learnt, sorted, and the entry of each
-        self.entry = np.zeros(0, dtype=np.int64)
+        self.entry = np.zeros(0, dtype=np.int32)
         self.part: dict[str, list[int]] = {}
         self.flat = np.zeros(0, dtype=np.uint32)         # ids of all entries; each one's first place and count
         self.at = np.zeros(0, dtype=np.int64)
-        self.size = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int32)
 
     def _ids(self, word: str) -> list[int]:
         if not _PLAIN.fullmatch(word) or "<|" in word:
@@ -76,6 +77,8 @@ class WordTokenizer:
             got = self.part.get(p)
             if got is None:
                 got = [t.id for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.byte))]
+                if len(self.part) >= KNOWN_PARTS:
+                    self.part.clear()
                 self.part[p] = got
             out += got
         return out
@@ -87,8 +90,8 @@ class WordTokenizer:
         self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, size.sum())])
         where = np.searchsorted(self.known, hashes)
         self.known = np.insert(self.known, where, hashes)
-        self.entry = np.insert(self.entry, where, len(self.size) + np.arange(len(size)))
-        self.size = np.concatenate([self.size, size])
+        self.entry = np.insert(self.entry, where, len(self.size) + np.arange(len(size), dtype=np.int32))
+        self.size = np.concatenate([self.size, size.astype(np.int32)])
 
     def encode(self, data: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents, each followed by ``end_id``, and where each document begins."""
@@ -222,6 +225,7 @@ def _task(path: str, tiers: tuple[int, ...], end_id: int, buffer: int, step: int
                     total += len(own)
                 if total >= buffer:
                     yield from flush(False)
+            del batch, rows, data, off                   # before the next batch arrives
         if held:
             yield from flush(True)
 
