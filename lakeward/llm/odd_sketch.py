@@ -45,6 +45,7 @@ SIFT = 0.54                  # least estimated similarity that goes to the exact
 BLOCK = 1024                 # members of a bucket whose sketches are compared with another such block in one task
 TOGETHER = 64                # members whose shingle sets are held against one at once
 BLOCK_BYTES = 2 << 20        # text, about, that is compared with as much in one task
+CELLS = 1 << 24              # bits of the table that sifts texts before they are shuffled: 262,144 rows at most, whatever the input
 
 _SEEDS = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * _A) | np.uint64(1)
 
@@ -245,6 +246,17 @@ def _dealt(members: DataFrame, blocks) -> DataFrame:
                           "i": F.least("i", "j"), "j": F.greatest("i", "j")}))
 
 
+def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row of ``texts`` for each of the distinct ``ids``.
+
+    The ids are folded into a bit table of fixed size, which every task holds: texts that are not wanted are left out where
+    they are read, and only the others (with few false ones, which the join drops) are shuffled."""
+    cell = f"pmod(xxhash64(doc_id), {CELLS}L)"
+    bits = ids.groupBy(F.expr(f"{cell} div 64").alias("_place")).agg(F.expr(f"bit_or(shiftleft(1L, cast({cell} % 64 as int)))").alias("_bits"))
+    near = texts.withColumn("_place", F.expr(f"{cell} div 64")).join(F.broadcast(bits), "_place").where(F.expr(f"getbit(_bits, cast({cell} % 64 as int)) = 1"))
+    return near.drop("_place", "_bits").join(ids, "doc_id").dropDuplicates(["doc_id"])
+
+
 def _open_links(ajar: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, percent: int, sift: float) -> DataFrame:
     """Links within buckets of several components.  ``ajar``: bucket, band, n, doc_id, component."""
     kept = ["bucket", "doc_id", "component", "side", "i", "j"]
@@ -252,8 +264,7 @@ def _open_links(ajar: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int
     met = (_dealt(ajar, F.ceil(F.col("n") / BLOCK)).select(*kept).join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
            .repartition(tasks, "bucket", "i", "j").groupBy("bucket", "i", "j").applyInArrow(_sifted(percent, sift), "bucket bigint, doc_id bigint").distinct())
     met = stored(ajar.join(met, ["bucket", "doc_id"]).select("bucket", "band", "doc_id", "component"), "odd-met")
-    wanted = texts.join(met.select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"])
-    wanted = stored(wanted.withColumn("bytes", F.octet_length("text")), "odd-met-texts")
+    wanted = stored(texts_of(texts, stored(met.select("doc_id").distinct(), "odd-met-ids")).withColumn("bytes", F.octet_length("text")), "odd-met-texts")
     blocks = (met.join(wanted.select("doc_id", "bytes"), "doc_id").groupBy("bucket")
               .agg(F.greatest(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK)).alias("blocks")))
     rows = (_dealt(met.join(blocks, "bucket"), F.col("blocks")).select(*kept, "band")
@@ -291,7 +302,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             .filter(estimate("x", "y") >= sift).select("a", "b"))
     near = stored(near, "odd-near")
     wanted = stored(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "odd-wanted")
-    rep_texts = stored(texts.join(wanted, "doc_id").dropDuplicates(["doc_id"]), "odd-texts")
+    rep_texts = stored(texts_of(texts, wanted), "odd-texts")
     links = (near.join(rep_texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a")
              .join(rep_texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b")
              .select("a", "b", "a_text", "b_text").mapInArrow(_confirm(shingle, percent), "a bigint, b bigint"))
