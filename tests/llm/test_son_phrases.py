@@ -95,3 +95,58 @@ def test_products_beyond_64_bits(spark):
     df = spark.createDataFrame([(a, l, r)], "a bigint, l bigint, r bigint")
     got = df.select(F.expr(son_phrases.SCORE).alias("s")).first()["s"]
     assert got == 2000000 * a // (l + r)
+
+
+def test_last_pass_sends_a_phrase_about_once(spark, monkeypatch, tmp_path):
+    """Phrases that every task holds: their rows do not grow with the tasks, and all are counted whole."""
+    counting = son_phrases._global
+
+    def counted_rows(*args):
+        inner, folder = counting(*args), str(tmp_path)
+
+        def task(it):
+            import uuid
+            from pathlib import Path
+
+            n = 0
+            for batch in inner(it):
+                n += batch.num_rows
+                yield batch
+            Path(folder, f"{uuid.uuid4()}.{n}").touch()
+
+        return task
+
+    monkeypatch.setattr(son_phrases, "_global", counted_rows)
+    line = " ".join(f"w{i}" for i in range(300))
+    rows = [(i, f"own{i}. {line}", "en") for i in range(96)]
+    docs = spark.createDataFrame([(i, t, g, "s", "x", "y", "z", 1) for i, t, g in rows], DDL).repartition(12)
+    found, _ = frequent_phrases(docs)
+    f, _ = counted(rows)
+    expected = {x: a for x, a in f.items() if a >= 30}
+    assert {(r["lang"], tuple(r["phrase"].split(" "))): r["f"] for r in found.collect()} == expected
+    made = [int(p.suffix[1:]) for p in tmp_path.iterdir()]
+    assert len(made) == 12 and len(expected) <= sum(made) <= 2 * len(expected)
+
+
+def test_shards_that_have_not_counted_a_phrase(spark, monkeypatch):
+    """A pair frequent in one shard alone: its few occurrences in the others, where its words are rare, still count; one short of the support stays out."""
+    from pyspark.sql import functions as F
+
+    ids = spark.range(3000).select("id", F.expr("'alpha beta. ' || repeat('common words here. ', 3)").alias("text"))
+    asked = []
+    wanted = son_phrases._wanted
+    monkeypatch.setattr(son_phrases, "_wanted", lambda union: asked.append(union.filter("n0 = 0 or n1 = 0 or n2 = 0").count()) or wanted(union))
+    slot = {r["id"]: r["s"] for r in ids.select("id", F.expr("pmod(xxhash64(id, text), 3)").alias("s")).collect()}
+    home = [i for i in slot if slot[i] == 0]
+    away = [[i for i in slot if slot[i] == x] for x in (1, 2)]
+    text = "alpha beta. " + "common words here. " * 3
+    for n, there in ((28, True), (27, False)):
+        rows = [(i, text, "en") for i in home[:n] + away[0][:1] + away[1][:1]]
+        rows += [(i, "common words here. " * 4, "en") for i in range(5000, 5300)]
+        docs = spark.createDataFrame([(i, t, g, "s", "x", "y", "z", 1) for i, t, g in rows], DDL).repartition(3)
+        found, _ = frequent_phrases(docs)
+        f, _ = counted(rows)
+        got = {(r["lang"], tuple(r["phrase"].split(" "))): r["f"] for r in found.collect()}
+        assert got == {x: a for x, a in f.items() if a >= 30}
+        assert (("en", ("alpha", "beta")) in got) == there
+    assert asked[0] > 0
